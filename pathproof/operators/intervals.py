@@ -36,6 +36,7 @@ def interval_join(
     row_key: Sequence[str] = (),
     width_s: int = HOUR,
     within: Range | None = None,
+    few_spans: bool = False,
 ) -> DataFrame:
     """All pairs with equal ``key`` and ``lo <= time <= hi`` (both ends included).
 
@@ -47,9 +48,12 @@ def interval_join(
 
     ``how="left"`` keeps spans without a point; ``row_key`` names the columns that
     identify a span. It is an inner join plus the spans it did not reach: a plain
-    outer join would return one empty row per slot.
+    outer join would return one empty row per slot. ``few_spans`` is for spans of a
+    fixed number, such as a sample: they are broadcast and the points are not shuffled.
     """
     slotted = _unfold(spans, lo, hi, width_s, within)
+    if few_spans:
+        slotted = F.broadcast(slotted)
     inner = (
         slotted.join(with_slot(points, time, width_s), [key, SLOT])
         .where(F.col(time).between(F.col(lo), F.col(hi)))
