@@ -28,7 +28,7 @@ def fraction_digits(x: Column | str) -> Column:
     doubles differently (1.0E-4 against 0.0001) and the rules compare digit counts.
     """
     text = _col(x).try_cast("decimal(38,12)").cast("string")
-    return F.length(F.rtrim(F.split_part(text, F.lit("."), F.lit(2)), F.lit("0")))
+    return F.length(F.rtrim(F.split_part(text, F.lit("."), F.lit(2)), F.lit("0"))).cast("bigint")
 
 
 def round7(x: Column | str) -> Column:

@@ -1,0 +1,24 @@
+"""Materialising a small intermediate result."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame
+
+CHECKPOINT_DIR = "spark.checkpoint.dir"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """``df`` as a reliable checkpoint: computed once, readable after executors are lost.
+
+    For results that several branches read and that are small next to their inputs.
+    The folder is the one the cluster names; a local session without one gets its own.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        named = context.getConf().get(CHECKPOINT_DIR)
+        if named is None and not context.master.startswith("local"):
+            raise ValueError(f"{CHECKPOINT_DIR} is not set: name a folder all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="run-"))
+    return df.checkpoint()

@@ -34,19 +34,23 @@ ORDER_COLUMNS = (
 )
 
 _MEASURES = {
-    "round_accuracy": lambda: F.floor("accuracy"),
-    "acc_digit": lambda: fraction_digits("accuracy"),
-    "speed_digit": lambda: fraction_digits("speed_kmh"),
-    "lat_digit": lambda: fraction_digits("latitude"),
-    "lon_digit": lambda: fraction_digits("longitude"),
+    "round_accuracy": ("accuracy", F.floor),
+    "acc_digit": ("accuracy", fraction_digits),
+    "speed_digit": ("speed_kmh", fraction_digits),
+    "lat_digit": ("latitude", fraction_digits),
+    "lon_digit": ("longitude", fraction_digits),
 }
 
 MEASURES = tuple(_MEASURES)
 
 
 def with_measures(pings: DataFrame) -> DataFrame:
-    """Add whole metres of accuracy and the digit counts, unless they are stored already."""
-    missing = {n: make() for n, make in _MEASURES.items() if n not in pings.columns}
+    """Add whole metres of accuracy and the digit counts, where not stored already."""
+    missing = {
+        name: measure(F.col(column))
+        for name, (column, measure) in _MEASURES.items()
+        if name not in pings.columns and column in pings.columns
+    }
     return pings.withColumns(missing) if missing else pings
 
 

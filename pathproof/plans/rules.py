@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from pathproof.functions import earth_distance_km, fraction_digits, round7, whole_seconds_between
 from pathproof.operators import HOUR, holding, interval_join, neighbours, with_slot
+from pathproof.operators.lineage import cut_lineage
 from pathproof.operators.slots import SLOT
 from pathproof.plans.measures import MEASURES, ORDER_COLUMNS, PING_FEATURES, with_measures
 
@@ -330,7 +331,9 @@ def _hits_by_driver(rows: DataFrame, pings: DataFrame, rules: Sequence[Rule], wi
     if len(whats) <= _FEW:
         asked = rows.withColumn("what", F.explode(F.array(*[F.lit(w) for w in whats])))
     else:
-        # Ask only for the rules the driver has any span of.
+        # Ask only for the rules the driver has any span of. The spans of many rules are
+        # read twice here: keep them, so that the pings are passed over once.
+        spans = cut_lineage(spans)
         asked = rows.join(spans.select("driver_id", "what").distinct(), "driver_id")
     windows = asked.select(*GROUP, "what", "_from", "delivery_pickup_time")
     held = holding(windows, spans, ["driver_id", "what"], "_from", "delivery_pickup_time", width_s=width_s)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pathproof.plans.devices import RISKY_TAGS, RISKY_TAGS_SECOND_PLATFORM
 from pathproof.plans.reports import FRAUD_KINDS
+from pathproof.plans.review import CHECKS as REVIEW_CHECKS
 from pathproof.plans.rules import RULES, RunRule
 from pathproof.plans.tags import BEHAVIORS, TAMPERED_APP_TAGS
 from pathproof.testbed.frames import VIEWS, sources_of
@@ -321,7 +322,6 @@ _add(
 
 # ---------------------------------------------------------------- tags
 
-_TAGS = "coalesce(from_json(json_extract(entities, '$.DFPInfoSZ.tags'), '[\"VARCHAR\"]'), [])"
 _PARSED = """select *, case when json_type(entities, '$.DFPInfoSZ.tags') = 'ARRAY'
   then cast(json_extract(entities, '$.DFPInfoSZ.tags') as varchar[]) end as tags from risk_events"""
 
@@ -504,14 +504,14 @@ def _check(name: str) -> str:
     return _SAME.format(shown=shown, where=check.where, **sides)
 
 
-for _name in CHECKS:
+for _name in REVIEW_CHECKS:
     _add(f"check_{_name}", _check(_name), phased=_phased("6 hours"))
 _add(
     "check_s3",
     "select distinct a.order_id from first_half a join second_half b on a.order_id = b.order_id",
     phased=_phased("6 hours"),
-    first_half=_check("s3a"),
-    second_half=_check("s3b"),
+    first_half=_check("s3a_wide"),
+    second_half=_check("s3b_wide"),
 )
 _add(
     "semi_join_check",
