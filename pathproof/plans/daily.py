@@ -46,41 +46,33 @@ def run_daily(
     """
     rule_set = list(rules.RULES.values()) if rule_set is None else list(rule_set)
 
-    cleaned = features.clean_pings(inputs.pings, inputs.profiles, inputs.cities, lo, hi).distinct()
-    replace_days(cleaned, f"{out}/pings", "grass_date", lo, hi)
-
+    def stored(df: DataFrame, name: str, first: date = lo, last: date = hi) -> DataFrame:
+        """Replace the run's days of a table and read days of it back, with the known schema."""
+        path = f"{out}/{name}"
+        replace_days(df, path, "grass_date", lo, hi)
+        return read_between(spark, path, "grass_date", first, last, df.schema)
+
+    pings = stored(
+        features.clean_pings(inputs.pings, inputs.profiles, inputs.cities, lo, hi).distinct(),
+        "pings",
+        lo - timedelta(days=1),
+    ).drop("grass_date")
     assigned = features.assignments(inputs.assignments_live, inputs.assignments_archive)
-    facts = features.order_facts(inputs.orders, inputs.profiles, inputs.store_points, assigned, lo, hi)
-    replace_days(facts, f"{out}/orders", "grass_date", lo, hi)
-
-    before = lo - timedelta(days=1)
-    pings = read_between(spark, f"{out}/pings", "grass_date", before, hi).drop("grass_date")
-    orders = read_between(spark, f"{out}/orders", "grass_date", lo, hi).drop("grass_date")
-
-    points = features.accept_points(orders, pings, width_s=width_s)
-    replace_days(points, f"{out}/accept_points", "grass_date", lo, hi)
-    points = read_between(spark, f"{out}/accept_points", "grass_date", lo, hi)
+    orders = stored(
+        features.order_facts(inputs.orders, inputs.profiles, inputs.store_points, assigned, lo, hi), "orders"
+    ).drop("grass_date")
 
+    points = stored(features.accept_points(orders, pings, width_s=width_s), "accept_points")
     for phase in phases:
-        seen = features.order_pings(orders, pings, phase, width_s=width_s)
-        replace_days(seen, f"{out}/pings_{phase}", "grass_date", lo, hi)
+        stored(features.order_pings(orders, pings, phase, width_s=width_s), f"pings_{phase}")
 
     flags = rules.run_rules(orders, pings, rule_set, width_s=width_s)
-    replace_days(flags.withColumn("grass_date", F.col("order_date")), f"{out}/flags", "grass_date", lo, hi)
-    flags = read_between(spark, f"{out}/flags", "grass_date", lo, hi)
-
-    app = tags.tampered_app_orders(
-        orders.withColumn("driver_key", F.col("driver_account_id")),
-        inputs.risk_events,
-        {"user_id": "driver_key"},
-        lo,
-        hi,
-    )
+    flags = stored(flags.withColumn("grass_date", F.col("order_date")), "flags")
+    app = tags.tampered_app_orders(orders, inputs.risk_events, {"user_id": "driver_account_id"}, lo, hi)
     hits = tags.all_hits(
         flags,
         _001=rules.accept_at_store(points),
         _004=rules.accept_point_repeated(points),
         app=app,
     )
-    tagged = tags.tag_orders(orders.withColumn("grass_date", F.col("order_date")), hits)
-    replace_days(tagged, f"{out}/order_tags", "grass_date", lo, hi)
+    stored(tags.tag_orders(orders.withColumn("grass_date", F.col("order_date")), hits), "order_tags")
