@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import date, timedelta
+from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,7 +66,9 @@ def run_daily(
     for phase in phases:
         stored(features.order_pings(orders, pings, phase, width_s=width_s), f"pings_{phase}")
 
-    flags = rules.run_rules(orders, pings, rule_set, width_s=width_s)
+    # Orders with broken times must not unfold beyond the days that have pings.
+    within = (datetime.combine(lo - timedelta(days=1), time.min), datetime.combine(hi, time.max))
+    flags = rules.run_rules(orders, pings, rule_set, width_s=width_s, within=within)
     flags = stored(flags.withColumn("grass_date", F.col("order_date")), "flags")
     app = tags.tampered_app_orders(orders, inputs.risk_events, {"user_id": "driver_account_id"}, lo, hi)
     hits = tags.all_hits(

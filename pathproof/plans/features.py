@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame
@@ -10,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pathproof.functions import ping_time, round7, speed_kmh, split_number, upload_wall_time, wall_time
 from pathproof.operators import HOUR, asof_lookup, interval_join, latest_by
-from pathproof.plans.measures import ORDER_COLUMNS, ping_features, with_measures
+from pathproof.plans.measures import ORDER_COLUMNS, distinct_pings, with_measures
 
 PAD = "5 minutes"
 
@@ -291,18 +290,9 @@ def order_pings(
         rows = rows.where(F.col("order_date").between(F.lit(lo), F.lit(hi)))
         pings = pings.where(F.col("ping_date").between(F.lit(first), F.lit(last)))
         within = (datetime.combine(first, datetime.min.time()), datetime.combine(last, datetime.max.time()))
-    measured = with_measures(pings)
-    columns: Sequence[str] = [
-        *ping_features(measured),
-        "round_accuracy",
-        "acc_digit",
-        "speed_digit",
-        "lat_digit",
-        "lon_digit",
-    ]
     joined = interval_join(
         rows,
-        measured.select("driver_id", *columns),
+        distinct_pings(pings),
         "driver_id",
         "ping_time",
         "_lo",
@@ -310,7 +300,7 @@ def order_pings(
         width_s=width_s,
         within=within,
     )
-    return joined.drop("_lo", "_hi").distinct().withColumn("grass_date", F.col("order_date"))
+    return joined.drop("_lo", "_hi").withColumn("grass_date", F.col("order_date"))
 
 
 def with_trip_phase(df: DataFrame, pad: str = PAD) -> DataFrame:

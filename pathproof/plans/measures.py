@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,5 +56,17 @@ def with_measures(pings: DataFrame) -> DataFrame:
     return pings.withColumns(missing) if missing else pings
 
 
-def ping_features(pings: DataFrame) -> list[str]:
-    return [c for c in PING_FEATURES if c in pings.columns]
+def distinct_pings(pings: DataFrame, features: Sequence[str] | None = None) -> DataFrame:
+    """Distinct feature rows of each driver, with their measures.
+
+    The feature tables are distinct by definition. Doing it here, before pings meet
+    orders, gives the same rows, moves narrower ones, and lets copies melt away before
+    the shuffle. ``features`` narrows what counts as different: the feature tables of one
+    region keep every ping column, the per-rule queries of the other the few they read.
+    """
+    chosen = list(features or PING_FEATURES)
+    if any(m in chosen and m not in pings.columns for m in MEASURES):
+        pings = with_measures(pings)
+    stored = [m for m, (column, _) in _MEASURES.items() if column in chosen and m not in chosen]
+    columns = ["driver_id", *[c for c in (*chosen, *stored) if c in pings.columns]]
+    return with_measures(pings.select(*columns).dropna(subset=["driver_id", "ping_time"]).distinct())

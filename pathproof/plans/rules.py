@@ -23,9 +23,10 @@ from pyspark.sql import functions as F
 
 from pathproof.functions import earth_distance_km, fraction_digits, round7, whole_seconds_between
 from pathproof.operators import HOUR, holding, interval_join, neighbours, with_slot
+from pathproof.operators.intervals import Range
 from pathproof.operators.lineage import cut_lineage
 from pathproof.operators.slots import SLOT
-from pathproof.plans.measures import MEASURES, ORDER_COLUMNS, PING_FEATURES, with_measures
+from pathproof.plans.measures import ORDER_COLUMNS, PING_FEATURES, distinct_pings, with_measures
 
 GROUP = ("order_date", "order_id", "driver_id", "service_type")
 
@@ -268,54 +269,75 @@ def rule_spans(
 # ---------------------------------------------------------------- hits of orders
 
 
-def distinct_pings(pings: DataFrame, features: Sequence[str] | None = None) -> DataFrame:
-    """Distinct feature rows of a driver, with the measures of the rules.
-
-    ``features`` narrows what counts as different. The feature tables of one region
-    keep every ping column, the per-rule queries of the other only the few they read.
-    """
-    chosen = _present(pings, features or PING_FEATURES)
-    stored = _present(pings, MEASURES)
-    return with_measures(pings.select("driver_id", *chosen, *stored).distinct())
-
-
 def order_hits(
     orders: DataFrame,
     pings: DataFrame,
     rules: Sequence[Rule],
     pad: str = "5 minutes",
-    features: Sequence[str] | None = None,
+    narrow: bool = False,
     one_row_per_order: bool = False,
     pings_are_distinct: bool = False,
     width_s: int = HOUR,
+    within: Range | None = None,
 ) -> DataFrame:
     """One row (order, ``code``) per order and rule that hits it.
 
     ``one_row_per_order`` promises that ``order_id`` is unique in ``orders`` and saves
     the branch for the others. ``pings_are_distinct`` promises the same of the feature
-    columns of ``pings`` and saves a shuffle.
+    columns of ``pings`` and saves a shuffle. ``within`` is the time range of the pings.
+
+    ``narrow`` counts pings as the per-rule queries of one region do: they make pings
+    distinct in the columns the rule reads before counting, where the feature tables of
+    the other region tell pings apart by all their columns.
     """
+    if narrow:
+        groups: dict[tuple[str, ...], list[Rule]] = {}
+        for r in rules:
+            groups.setdefault(narrow_features(r), []).append(r)
+        return reduce(
+            DataFrame.unionByName,
+            [
+                order_hits(
+                    orders,
+                    distinct_pings(pings, features),
+                    some,
+                    pad,
+                    one_row_per_order=one_row_per_order,
+                    pings_are_distinct=True,
+                    width_s=width_s,
+                    within=within,
+                )
+                for features, some in groups.items()
+            ],
+        )
     rows = orders.select(*ORDER_COLUMNS).withColumn(
         "_from", F.col("delivery_assign_time") - F.expr(f"interval {pad}")
     )
-    feature_rows = with_measures(pings) if pings_are_distinct else distinct_pings(pings, features)
+    feature_rows = with_measures(pings) if pings_are_distinct else distinct_pings(pings)
     if one_row_per_order:
-        hits = _hits_by_driver(rows, feature_rows, rules, width_s)
+        hits = _hits_by_driver(rows, feature_rows, rules, width_s, within)
     else:
         rows = rows.distinct()
         repeated = rows.groupBy("order_id").count().where("count > 1").select("order_id")
         hits = _hits_by_driver(
-            rows.join(repeated, "order_id", "left_anti"), feature_rows, rules, width_s
+            rows.join(repeated, "order_id", "left_anti"), feature_rows, rules, width_s, within
         ).unionByName(
-            _hits_by_order(rows.join(repeated, "order_id", "left_semi"), feature_rows, rules, width_s)
+            _hits_by_order(rows.join(repeated, "order_id", "left_semi"), feature_rows, rules, width_s, within)
         )
-    return _without_pardoned(hits, rows, feature_rows, rules, width_s)
+    return _without_pardoned(hits, rows, feature_rows, rules, width_s, within)
 
 
 def _code(what: Column) -> Column:
     return F.substring_index(what, ".", 1)
 
 
+def narrow_features(rule: Rule) -> tuple[str, ...]:
+    """Ping columns the per-rule query of a rule is distinct in."""
+    if isinstance(rule, RunRule) and rule.row == ACCURACY_ROW:
+        return (*ACCURACY_ROW, "speed_digit") if "speed_digit" in rule.match else ACCURACY_ROW
+    return FULL_ROW
+
+
 def _whats(rules: Sequence[Rule]) -> list[str]:
     return [
         w
@@ -324,7 +346,9 @@ def _whats(rules: Sequence[Rule]) -> list[str]:
     ]
 
 
-def _hits_by_driver(rows: DataFrame, pings: DataFrame, rules: Sequence[Rule], width_s: int) -> DataFrame:
+def _hits_by_driver(
+    rows: DataFrame, pings: DataFrame, rules: Sequence[Rule], width_s: int, within: Range | None
+) -> DataFrame:
     """Orders with one row each: does the order's window hold a span of its driver?"""
     spans = rule_spans(pings, "driver_id", rules, width_s=width_s)
     whats = _whats(rules)
@@ -336,16 +360,22 @@ def _hits_by_driver(rows: DataFrame, pings: DataFrame, rules: Sequence[Rule], wi
         spans = cut_lineage(spans)
         asked = rows.join(spans.select("driver_id", "what").distinct(), "driver_id")
     windows = asked.select(*GROUP, "what", "_from", "delivery_pickup_time")
-    held = holding(windows, spans, ["driver_id", "what"], "_from", "delivery_pickup_time", width_s=width_s)
+    held = holding(
+        windows, spans, ["driver_id", "what"], "_from", "delivery_pickup_time", width_s=width_s, within=within
+    )
     return held.select(*GROUP, _code(F.col("what")).alias("code")).distinct()
 
 
 _FEW = 3
 
 
-def _hits_by_order(rows: DataFrame, pings: DataFrame, rules: Sequence[Rule], width_s: int) -> DataFrame:
+def _hits_by_order(
+    rows: DataFrame, pings: DataFrame, rules: Sequence[Rule], width_s: int, within: Range | None
+) -> DataFrame:
     """Orders with several rows: span search inside each order, over all its rows together."""
-    seen = interval_join(rows, pings, "driver_id", "ping_time", "_from", "delivery_pickup_time", width_s=width_s)
+    seen = interval_join(
+        rows, pings, "driver_id", "ping_time", "_from", "delivery_pickup_time", width_s=width_s, within=within
+    )
     times = ["delivery_assign_time", "delivery_pickup_time", "delivery_delivered_time"]
     kept = ["order_date", "driver_id", "service_type", "create_time"]
     # Times of the order tell its rows apart; only the jump rule looks at rows that have them.
@@ -361,7 +391,12 @@ def _hits_by_order(rows: DataFrame, pings: DataFrame, rules: Sequence[Rule], wid
 
 
 def _without_pardoned(
-    hits: DataFrame, rows: DataFrame, pings: DataFrame, rules: Sequence[Rule], width_s: int
+    hits: DataFrame,
+    rows: DataFrame,
+    pings: DataFrame,
+    rules: Sequence[Rule],
+    width_s: int,
+    within: Range | None,
 ) -> DataFrame:
     """Take back hits of orders with a pardoning ping between pickup and delivery."""
     nets = {net: f"net{i}" for i, net in enumerate(_unique(*[r.net for r in rules if r.net]))}
@@ -383,7 +418,13 @@ def _without_pardoned(
         F.explode(F.array(*[F.lit(n) for n in nets.values()])).alias("net"),
     )
     pardoned = holding(
-        trips, pardons, ["driver_id", "net"], "delivery_pickup_time", "delivery_delivered_time", width_s=width_s
+        trips,
+        pardons,
+        ["driver_id", "net"],
+        "delivery_pickup_time",
+        "delivery_delivered_time",
+        width_s=width_s,
+        within=within,
     ).select("order_id", "net")
     net_of = F.coalesce(
         *[

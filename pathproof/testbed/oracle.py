@@ -12,7 +12,7 @@ from pathproof.plans.review import CHECKS as REVIEW_CHECKS
 from pathproof.plans.rules import RULES, RunRule
 from pathproof.plans.tags import BEHAVIORS, TAMPERED_APP_TAGS
 from pathproof.testbed.frames import VIEWS, sources_of
-from pathproof.testbed.queries import CHECKS, PER_CLASS
+from pathproof.testbed.queries import CHECKS, NARROW_CODES, PER_CLASS
 
 ORACLES: dict[str, str] = {}
 
@@ -278,6 +278,11 @@ for _code in RULES:
 
 _ALL = " union all ".join(f"select {_GROUP}, code, cnt, flagged from ({_flagged(c)})" for c in RULES)
 _add("all_rules", _ALL, **_SEEN)
+_add(
+    "rules_per_query",
+    " union all ".join(f"select {_GROUP}, code, cnt, flagged from ({_flagged(c)})" for c in NARROW_CODES),
+    **_SEEN,
+)
 
 _REPEATED = """select * from trips union all
   select * replace (delivery_assign_time + interval 20 hours as delivery_assign_time) from trips where order_id % 3 = 0"""

@@ -209,6 +209,15 @@ def _all_rules(orders, pings):
 _add("all_rules", "trips", "pings")(_all_rules)
 
 
+NARROW_CODES = ("006", "008", "010", "016", "115", "215")
+
+
+@_add("rules_per_query", "trips", "pings")
+def _(orders, pings):
+    some = [NEAR_JUMP if c == "006" else rules.RULES[c] for c in NARROW_CODES]
+    return rules.run_rules(orders, pings, some, narrow=True, one_row_per_order=True, width_s=DAY)
+
+
 @_add("rules_on_repeated_rows", "trips", "pings")
 def _(orders, pings):
     again = orders.where("order_id % 3 = 0").withColumn(

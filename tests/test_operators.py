@@ -131,4 +131,6 @@ def test_pick_per_class_drops_rows_before_the_shuffle(spark):
     df = spark.range(1000).select("id", (F.col("id") % 2).alias("c"))
     picked = pick_per_class(df, "c", 3, [F.col("id")])
     assert sorted(r.id for r in picked.collect()) == [0, 1, 2, 3, 4, 5]
+    large = pick_per_class(df.withColumn("c", F.lit(0)).union(df.withColumn("id", F.col("id") + 5000)), "c", 1200, [F.col("id")])
+    assert sorted(r.id for r in large.where("c = 0").collect())[-1] == 5398
     assert "WindowGroupLimit" in picked._jdf.queryExecution().executedPlan().toString()

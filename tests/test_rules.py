@@ -5,8 +5,10 @@ from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from pathproof.operators import DAY, HOUR, MINUTE
+from pathproof.plans.measures import with_measures
 from pathproof.plans.rules import RULES, accept_at_store, accept_point_repeated, run_rule, run_rules
 
 T0 = datetime(2024, 1, 1, 12)
@@ -82,8 +84,10 @@ def test_tied_and_repeated_pings_change_the_count(spark):
     copy = [ping(-5)] + [ping(10 * i, LONG[i]) for i in range(5)] + [ping(20, LONG[2], device="e")]
     assert hits(spark, [order(1)], copy, "111") == set()
     # Seen through fewer columns the copy is no other ping.
-    few = ("ping_time", "upload_time", "accuracy")
-    assert hits(spark, [order(1)], copy, "111", features=few) == {(1, 1, 1)}
+    assert hits(spark, [order(1)], copy, "111", narrow=True) == {(1, 1, 1)}
+    stored = with_measures(spark.createDataFrame(copy, PING)).withColumn("speed_digit", F.col("head") * 0)
+    got = run_rule(spark.createDataFrame([order(1)], ORDER), stored, RULES["111"], narrow=True, one_row_per_order=True)
+    assert got.count() == 1
 
 
 def test_a_ping_on_the_trip_pardons(spark):
