@@ -65,6 +65,10 @@ def interval_join(
         return inner
     if not row_key:
         raise ValueError("how='left' needs row_key")
+    if few_spans:
+        # Few pairs: match them back, so that the points are read once.
+        found = inner.drop(*[c for c in spans.columns if c not in row_key])
+        return spans.join(found, list(row_key), "left").select(*columns)
     reached = inner.select(*row_key).distinct()
     empty = spans.join(reached, list(row_key), "left_anti").select(
         *spans.columns,
