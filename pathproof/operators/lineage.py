@@ -17,7 +17,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        named = context.getConf().get(CHECKPOINT_DIR)
+        named = df.sparkSession.conf.get(CHECKPOINT_DIR, None)
         if named is None and not context.master.startswith("local"):
             raise ValueError(f"{CHECKPOINT_DIR} is not set: name a folder all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="run-"))

@@ -214,6 +214,11 @@ def accept_pairs(pairs: DataFrame, day: date | None = None) -> DataFrame:
     ).distinct()
 
 
+def with_accept_pairs(orders: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Orders with the logged store and accept place of ``accept_pairs``, where there is one."""
+    return orders.join(pairs, ["order_id", "driver_id"], "left")
+
+
 _PLACES = ("accept_latitude", "accept_longitude", "store_latitude", "store_longitude")
 
 

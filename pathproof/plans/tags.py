@@ -80,7 +80,12 @@ def tampered_app_orders(
     if lo is not None:
         orders = orders.where(F.col("order_date").between(F.lit(lo), F.lit(hi)))
         events = events.where(F.to_date("event_local_datetime").between(F.lit(lo), F.lit(hi)))
-    drivers = flagged_users(events, **tagging).select(*[F.col(e).alias(o) for e, o in on.items()]).distinct()
+    # One region keeps ids as text: compare in the type of the orders.
+    drivers = (
+        flagged_users(events, **tagging)
+        .select(*[F.col(e).cast(orders.schema[o].dataType).alias(o) for e, o in on.items()])
+        .distinct()
+    )
     return (
         orders.join(drivers, list(on.values()), "left_semi")
         .select(

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from pathproof.sources.schemas import INPUTS
+
 SLACK = timedelta(days=1)
 
 
@@ -18,6 +20,11 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
     return reader.parquet(path)
 
 
+def read_input(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """One of the inputs of ``schemas.INPUTS``."""
+    return read_table(spark, path, INPUTS[name])
+
+
 def read_between(
     spark: SparkSession,
     path: str,

@@ -55,3 +55,26 @@ BAD_DEBT = _schema(
     "order_created_date:day fraud_code:text source:text purpose_en:text order_code:text driver_id:long "
     "balance:double amount_charge_back:double exchange_rate:double"
 )
+ORDER_TAG = _schema(
+    "order_id:long driver_id:long driver_account_id:long order_date:day order_city:text service_type:text "
+    "store_latitude:double store_longitude:double accept_latitude:double accept_longitude:double "
+    "delivery_assign_time:time delivery_pickup_time:time delivery_delivered_time:time behavior:text grass_date:day"
+)
+
+INPUTS = {
+    "raw_ping": RAW_PING,
+    "order": ORDER,
+    "food_version": FOOD_VERSION,
+    "parcel": PARCEL,
+    "assignment": ASSIGNMENT,
+    "accept_pair": ACCEPT_PAIR,
+    "store_point": STORE_POINT,
+    "profile": PROFILE,
+    "city": CITY,
+    "account": ACCOUNT,
+    "risk_event": RISK_EVENT,
+    "order_device": ORDER_DEVICE,
+    "order_tag": ORDER_TAG,
+    "review": REVIEW,
+    "bad_debt": BAD_DEBT,
+}

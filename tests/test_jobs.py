@@ -89,6 +89,57 @@ def test_tampered_app_tags(spark):
     assert (3, True, False) in flags and (5, False, False) in flags and (2, True, True) in flags
 
 
+def test_the_region_with_text_ids(spark):
+    c = F.col
+    facts = spark.createDataFrame([order(1), order(2, driver=2)], ORDER)
+    versions = facts.select("order_id", "driver_id", "create_time", *review._TIMES).withColumns(
+        {"order_status": F.lit("ORDER_COMPLETED"), "ingestion_timestamp": c("create_time")}
+    )
+    undone = versions.withColumns(
+        {"order_status": F.lit("ORDER_CANCELLED"), "ingestion_timestamp": c("create_time") + F.expr("interval 1 day")}
+    ).where("order_id = 2")
+    none = "order_id long, driver_id long, create_time timestamp_ntz, assign_time timestamp_ntz, pickup_time timestamp_ntz, "
+    none += "delivery_complete_time timestamp_ntz, service_type int, order_status int"
+    done = features.order_facts_versioned(
+        versions.unionByName(undone), spark.createDataFrame([], none), {2: "a"}, date(2024, 1, 1)
+    )
+    # The newest version of order 2 is cancelled: choosing comes before testing.
+    assert [(r.order_id, r.driver_id, r.service_type) for r in done.collect()] == [("1", "1", "food")]
+    log = spark.createDataFrame(
+        [(1, 1, 2.0, 3.0, 4.0, 5.0, 1704110400000, "20240101"), (1, 1, 0.0, 0.0, 0.0, 0.0, 1704110400000, "20231231")],
+        "order_id long, driver_id long, store_latitude double, store_longitude double, driver_latitude double, "
+        "driver_longitude double, create_time long, dt string",
+    )
+    placed = features.with_accept_pairs(done, features.accept_pairs(log, date(2024, 1, 1)))
+    pings = spark.createDataFrame([ping(-10, lat=7.5)], PING).withColumn("driver_id", c("driver_id").cast("string"))
+    near = features.accept_points(placed, pings, keep_unseen=True).first()
+    assert (near.accept_latitude, near.store_latitude) == (7.5, 2.0)
+    far = features.accept_points(placed, pings.where("false"), keep_unseen=True).first()
+    assert (far.accept_latitude, far.accept_longitude) == (4.0, 5.0)
+    events = spark.createDataFrame(
+        [(1, "P", '{"DFPInfoSZ":{"tags":["is_repack"]}}', T0)],
+        "user_id long, sync_event_hit_result string, entities string, event_local_datetime timestamp_ntz",
+    )
+    hit = tags.tampered_app_orders(done, events, {"user_id": "driver_id"}, date(2024, 1, 1), date(2024, 1, 1))
+    assert [r.order_id for r in hit.collect()] == ["1"]
+
+
+def test_declared_inputs_are_read_without_inference(spark, tmp_path):
+    from pathproof.sources import read_input, read_risk_events
+    from pathproof.sources.schemas import INPUTS, RISK_EVENT
+
+    events = spark.createDataFrame(
+        [(1, 16, "e", T0, date(2024, 1, d), region, None, None, 1) for d in (1, 2) for region in ("X", "Y")], RISK_EVENT
+    )
+    path = str(tmp_path / "events")
+    write_partitioned(events, path, ["grass_date"])
+    got = read_risk_events(spark, path, [16], "X", date(2024, 1, 2), date(2024, 1, 3), RISK_EVENT)
+    assert [r.grass_date.day for r in got.collect()] == [2]
+    assert "PartitionFilters: [isnotnull(grass_date" in got._jdf.queryExecution().executedPlan().toString()
+    write_full(spark.createDataFrame([], INPUTS["review"]), str(tmp_path / "r"))
+    assert read_input(spark, str(tmp_path / "r"), "review").columns == ["order_id", "is_hit", "pic"]
+
+
 def test_order_tags_are_long_and_empty_when_clean(spark):
     orders = spark.createDataFrame([(1,), (2,)], "order_id long")
     hits = spark.createDataFrame([(1, "016"), (1, "017"), (1, "001"), (2, "unknown")], "order_id long, code string")
