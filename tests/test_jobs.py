@@ -223,3 +223,26 @@ def test_daily_job_is_repeatable(spark, tmp_path):
     assert any(tags.TAMPERED_APP in row for row in first["order_tags"])
     run_daily(spark, inputs, out, lo, hi, rules, phases=("before",))
     assert tables() == first
+
+
+def test_same_place_check_asks_for_accuracy_and_heading(spark):
+    schema = (
+        "order_date date, order_id long, driver_id long, period string, ping_time timestamp_ntz, accuracy double, "
+        "latitude double, longitude double, speed_kmh double, head int"
+    )
+
+    def row(oid, second, accuracy=5.0, head=4, lat=1.0, speed=0.36, period="early"):
+        return (T0.date(), oid, 1, period, seconds(second), accuracy, lat, 2.0, speed, head)
+
+    sample = spark.createDataFrame(
+        [
+            row(1, 0), row(1, 5, head=3, lat=9.0), row(1, 10, speed=3.6, period="end"), row(1, 20, lat=3.0),
+            row(2, 0), row(2, 10, accuracy=4.9),
+            row(3, 0), row(3, 10, period="middle"),
+            row(4, 0), row(4, 0),
+        ],
+        schema,
+    )
+    hit = review.review_check(sample, review.CHECKS["s8"])
+    # Pings that fail the condition do not stand between two that meet it; copies are one ping.
+    assert {(r.order_id, (r.ping_time - T0).seconds) for r in hit.collect()} == {(1, 0), (1, 10)}
