@@ -318,7 +318,7 @@ _REPEATED_POINT = f"""select distinct {', '.join('o.' + c.strip() for c in _GROU
     select order_date, driver_id, accept_latitude, accept_longitude, count(distinct order_id) as cnt from trips
     where {_digits('accept_latitude')} = 7 and {_digits('accept_longitude')} = 7 group by all) d
   on o.order_date = d.order_date and o.driver_id = d.driver_id and o.accept_latitude = d.accept_latitude
-    and o.accept_longitude = d.accept_longitude where cnt >= 2"""
+    and o.accept_longitude = d.accept_longitude where cnt >= 3"""
 _add(
     "rule_004",
     f"select {_GROUP}, cnt as cnt_004, 1 as dsys004, order_date as grass_date from repeated_point",

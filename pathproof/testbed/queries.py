@@ -198,7 +198,7 @@ def _(orders):
 
 @_add("rule_004", "trips")
 def _(orders):
-    return rules.accept_point_repeated(orders, at_least=2)
+    return rules.accept_point_repeated(orders)
 
 
 def _all_rules(orders, pings):
@@ -255,7 +255,7 @@ def _(orders, pings, events):
     hits = tags.all_hits(
         _all_rules(orders, pings),
         _001=rules.accept_at_store(orders),
-        _004=rules.accept_point_repeated(orders, at_least=2),
+        _004=rules.accept_point_repeated(orders),
         app=tags.tampered_app_orders(orders, events, {"user_id": "driver_id", "grass_date": "order_date"}),
     )
     return tags.tag_orders(orders, hits).select("order_id", "driver_id", "order_date", "behavior")
