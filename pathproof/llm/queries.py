@@ -6,16 +6,34 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pathproof.llm import simhash
+from pathproof.llm import embeddings, packing, simhash, tokenfile
 from pathproof.llm.common import table
+from pathproof.llm.tokens import default_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.op3_packing(table(spark, sf_dir, "documents"), default_path("byte_bpe_50k.json"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.op6_simhash(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {"op6_simhash": op6_simhash}
+def op8_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.op8_tokenfile(table(spark, sf_dir, "documents"), default_path("word_bpe_49k.json"))
+
+
+def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.op10_embeddings(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES: dict[str, Query] = {
+    "op3_packing": op3_packing,
+    "op6_simhash": op6_simhash,
+    "op8_tokenfile": op8_tokenfile,
+    "op10_embeddings": op10_embeddings,
+}
 
 ORACLES: dict[str, str] = {}
