@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pathproof.llm import embeddings, packing, simhash, tokenfile
+from pathproof.llm import embeddings, imatch, packing, simhash, tokenfile, toxicity
 from pathproof.llm.common import table
 from pathproof.llm.tokens import default_path
 
@@ -17,6 +17,14 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.op3_packing(table(spark, sf_dir, "documents"), default_path("byte_bpe_50k.json"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.op4_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.op5_imatch(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.op6_simhash(table(spark, sf_dir, "documents"))
 
@@ -31,6 +39,8 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_packing": op3_packing,
+    "op4_toxicity": op4_toxicity,
+    "op5_imatch": op5_imatch,
     "op6_simhash": op6_simhash,
     "op8_tokenfile": op8_tokenfile,
     "op10_embeddings": op10_embeddings,
