@@ -18,24 +18,32 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pathproof.llm.common import map_arrow, stored, text_key
+from pathproof.llm.common import map_arrow, stored
 
 #: The classifier is fitted on so many labelled rows at most, chosen by a hash of their id.
 TRAIN_ROWS = 50_000
 #: Weight of a word without evidence: a passage ends where evidence stops for long.
 DRIFT = -0.1
-#: Tokens enter the model if their log-odds exceed so many standard errors; the strongest so many are kept.
-LEAST_Z, MOST_TOKENS = 3.0, 20_000
+#: Tokens enter the model if their log-odds exceed so many standard errors that chance alone would let in this many of all
+#: tokens tried; the strongest are kept.
+CHANCE_TOKENS, MOST_TOKENS = 1.0, 20_000
 #: A whole word seen in so many documents keeps its own weight, even if its first letters have strong evidence.
 OWN_WEIGHT_FROM = 5
+#: Share of their toxic documents from which on first letters are taken for a single word.
+ONE_WORD = 0.9
 #: Strength of the prior, as a share of the tokens counted.
 PRIOR_SHARE = 0.2
+#: Hash functions by which near copies among the training rows are told.
+SKETCHES = 4
 #: Lengths of the first letters that count as tokens beside the whole word.
 HEADS = (4, 5)
 #: Documents with this score or more are rejected.
@@ -170,21 +178,40 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(beta[0]), float(max(0.0, beta[1]))
 
 
+def _sketch(text: str | None) -> list[int]:
+    """Smallest hashes of the runs of five words, by ``SKETCHES`` hash functions: near copies mostly share one."""
+    words = words_of(text)
+    runs = {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+    hashes = np.fromiter((xxhash.xxh64_intdigest(r) for r in runs), dtype=np.uint64, count=len(runs))
+    return [int((hashes * np.uint64(2 * k + 1) ^ np.uint64(k) << np.uint64(60)).min() >> np.uint64(1)) for k in range(SKETCHES)]
+
+
 def _training_rows(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """(half, toxic, text) of at most ``rows`` labelled rows outside the held-out part; of equal texts one row."""
+    """(half, toxic, text) of at most ``rows`` labelled rows outside the held-out part; of near copies one row.
+
+    A passage that was copied a hundred times proves as much as one.
+    """
     labelled = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    labelled = labelled.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    labelled = labelled.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
     chosen = labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    # bounded by ``rows``, so it can be sent to all; and so can one id for each different text of them
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    distinct = (
-        keyed.join(F.broadcast(chosen), "doc_id")
-        .groupBy(text_key(F.col("text")).alias("key"), "toxic")
-        .agg(F.min("doc_id").alias("doc_id"))
-        .select("doc_id", F.pmod(F.xxhash64("key"), F.lit(2)).cast("int").alias("half"), "toxic")
-        .limit(rows)
-    )
-    return keyed.join(F.broadcast(distinct), "doc_id").select("half", "toxic", "text")
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_sketch(t) for t in batch.column(2).to_pylist()]
+            columns = [pa.array([f[k] for f in found], pa.int64()) for k in range(SKETCHES)]
+            yield pa.record_batch([*batch.columns[:2], *columns], names=["doc_id", "toxic", *keys])
+
+    keys = [f"k{k}" for k in range(SKETCHES)]
+    # ``chosen`` is bounded by ``rows``, so it can be sent to all, and so can what is left of it
+    sample = keyed.join(F.broadcast(chosen), "doc_id").select("doc_id", F.col("toxic").cast("int").alias("toxic"), "text")
+    left = map_arrow(sample, sketch, "doc_id long, toxic int, " + ", ".join(f"{k} long" for k in keys))
+    for k in keys:
+        left = left.groupBy(k, "toxic").agg(F.min(F.struct("doc_id", *(x for x in keys if x != k))).alias("m"))
+        left = left.select(k, "toxic", "m.*")
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int").alias("half")
+    left = stored(left.select("doc_id", half, "toxic").dropDuplicates(["doc_id"]).limit(rows))
+    return keyed.join(F.broadcast(left), "doc_id").select("half", "toxic", "text")
 
 
 def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Model:
@@ -233,14 +260,25 @@ def _weights(counts: DataFrame, toxic: Column, clean: Column) -> Model:
     error = F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior))
     seen = counts.where("toxic + clean > 0").withColumn("weight", odds[0] - odds[1])
     seen = seen.withColumn("z", F.col("weight") / error)
-    strong = seen.where((F.col("toxic") >= 2) & (F.col("z") >= LEAST_Z)).orderBy(F.desc("z"), "token")
-    weights = {r.token: r.weight for r in strong.limit(MOST_TOKENS).collect()}
-    heads = sorted({t[: min(HEADS)] for t in weights if len(t.rstrip()) >= min(HEADS)})
-    own = seen.where(
-        F.col("token").endswith(" ")
-        & (F.col("toxic") + F.col("clean") >= OWN_WEIGHT_FROM)
-        & F.substring("token", 1, min(HEADS)).isin(heads)
-    ).orderBy(F.desc(F.col("toxic") + F.col("clean")), "token")
+    tried = seen.where(F.col("toxic") >= 2)
+    least_z = NormalDist().inv_cdf(1 - CHANCE_TOKENS / max(100, tried.count()))
+    strong = tried.where(F.col("z") >= least_z).orderBy(F.desc("z"), "token")
+    found = {r.token: r for r in strong.limit(MOST_TOKENS).collect()}
+    # first letters prove nothing of their own if one word accounts for nearly all their toxic documents
+    single = {
+        t[:k]
+        for t, r in found.items()
+        for k in HEADS
+        if t.endswith(" ") and t[:k] in found and r.toxic >= ONE_WORD * found[t[:k]].toxic
+    }
+    weights = {t: r.weight for t, r in found.items() if t not in single}
+    heads = [t for t in weights if not t.endswith(" ")]
+    under = [F.substring("token", 1, k).isin([t for t in heads if len(t) == k]) for k in HEADS]
+    own = (
+        seen.where(F.col("token").endswith(" ") & (F.col("toxic") + F.col("clean") >= OWN_WEIGHT_FROM))
+        .where(reduce(Column.__or__, under))
+        .orderBy(F.desc(F.col("toxic") + F.col("clean")), "token")
+    )
     weights = {r.token: r.weight for r in own.limit(MOST_TOKENS).collect()} | weights
     return Model(weights, frozenset(t.rstrip()[: min(HEADS)] for t in weights))
 
