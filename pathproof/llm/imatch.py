@@ -3,10 +3,10 @@
 The lexicon holds the terms whose document share lies within a band, that is, whose inverse document frequency is neither
 small (words of the language) nor large (names, misspellings). It cannot outgrow (terms of a mean document) / (smallest
 share), however many documents there are, which is why it may be broadcast. A document's terms that lie in the lexicon
-are sorted, and each of ``LEVELS * PER_LEVEL`` random subsets of the lexicon hashes the terms it contains. A subset of a
-level holds one term in ``PER_LEVEL * 2 ** level``, so some level has subsets with about one term of any document. Two
-documents are alike by the share of subsets, out of those that hold a term of either, for which both hashes agree. Levels
-whose subsets all hold terms are too coarse for the two documents and are left out, save the finest.
+are sorted, and random subsets of the lexicon each hash the terms they contain. A subset of a level holds one term in
+``PER_LEVEL * 2 ** level``. A document uses the ``LEVELS`` levels from that on whose subsets hold one or two of its
+terms each, so short and long texts alike have subsets that an edit leaves alone. Two documents are alike by the share of
+subsets, out of those of common levels that hold a term of either, for which both hashes agree.
 
 Each document also meets its successor in descending order of ids. The ids are cut into buckets of consecutive ids; the
 first document of a bucket is sent to the bucket above, too, so one window per bucket gives every row its successor,
@@ -22,12 +22,14 @@ from pathproof.llm.common import text_key
 
 #: Shares of documents between which a term is in the lexicon: inverse document frequencies of 2.3 to 6.9.
 SHARES = (0.001, 0.1)
-LEVELS, PER_LEVEL = 8, 16
+LEVELS, PER_LEVEL, HIGHEST_LEVEL = 3, 16, 20
 #: With fewer lexicon terms the first terms of the text are taken in, whatever their frequency.
 FEW_TERMS, FIRST_TERMS = 4, 8
 #: Documents of a bucket, and the number of buckets from which on they hold more; a window spills what does not fit.
 BUCKET_ROWS, MOST_BUCKETS = 512, 1 << 14
 _STEP = 64
+#: Spark's hash of an empty array is its seed.
+_EMPTY = 42
 _NULL_ID = -(1 << 63)
 
 
@@ -43,44 +45,53 @@ def lexicon(docs: DataFrame, n_docs: int, shares: tuple[float, float] = SHARES)
     return counts.where(F.col("n").between(max(2.0, shares[0] * n_docs), max(2.0, shares[1] * n_docs))).select("term")
 
 
-def subset_hashes() -> tuple[Column, Column]:
-    """Two steps over the sorted terms ``found``: those of each level, then a short hash for each subset, empty if it has none."""
-    place = "shiftrightunsigned(h, 6 * l) & (shiftleft({0}L, l) - 1)".format(PER_LEVEL)
-    levels = F.expr(f"transform(sequence(0, {LEVELS - 1}), l -> filter(found, h -> ({place}) < {PER_LEVEL}))")
-    hashes = F.expr(
-        f"flatten(transform(levels, (s, l) -> transform(sequence(0, {PER_LEVEL - 1}), j -> "
-        f"array_join(transform(slice(filter(s, h -> ({place}) = j), 1, 1), x -> "
-        f"lpad(hex(xxhash64(filter(s, h -> ({place}) = j)) & 4294967295L), 8, '0')), ''))))"
-    )
-    return levels, hashes
+def _with_fingerprint(df: DataFrame, found: Column, out: str) -> DataFrame:
+    """Adds ``out``, the first level, and ``out`` + "_hashes", a short hash for each subset, empty if it has no term."""
+    low = f"cast(least({HIGHEST_LEVEL}, greatest(0, floor(log2(greatest(1, size(found)) / {PER_LEVEL})))) as int)"
 
+    def place(level: str) -> str:
+        return f"shiftrightunsigned(h, 20 * (({level}) % 3)) & (shiftleft({PER_LEVEL}L, {level}) - 1)"
 
-def _fingerprint(df: DataFrame, found: str, out: str) -> DataFrame:
-    """Adds ``out``, the hashes of the subsets as an array."""
-    levels, hashes = subset_hashes()
+    members = f"filter(found, h -> ({place('l')}) < {PER_LEVEL})"
+    subset = f"filter(s, h -> ({place(f'{out} + k')}) = j)"
+    short = "lpad(hex(x & 4294967295L), 8, '0')"
     return (
-        df.withColumn("found", F.array_sort(F.array_distinct(found)))
-        .withColumn("levels", levels)
-        .withColumn(out, hashes)
-        .drop("found", "levels")
+        df.withColumn("found", F.sort_array(F.array_distinct(found)))
+        .withColumn(out, F.expr(low))
+        .withColumn("levels", F.expr(f"transform(sequence({out}, {out} + {LEVELS - 1}), l -> {members})"))
+        .withColumn(
+            "all",
+            F.expr(f"flatten(transform(levels, (s, k) -> transform(sequence(0, {PER_LEVEL - 1}), j -> xxhash64({subset}))))"),
+        )
+        .withColumn(f"{out}_hashes", F.expr(f"transform(all, x -> if(x = {_EMPTY}L, '', {short}))"))
+        .drop("found", "levels", "all")
     )
 
 
 def _with_likeness(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
-    """Adds ``out``, the likeness of two arrays of hashes; 1 or 0 where no subset holds a term."""
-    pairs = f"zip_with({a}, {b}, (x, y) -> named_struct('held', x <> '' or y <> '', 'same', x <> '' and x = y))"
-    level = f"slice(pairs, l * {PER_LEVEL} + 1, {PER_LEVEL})"
-    counts = ", ".join(f"'{k}', size(filter({level}, z -> z.{k}))" for k in ("held", "same"))
-    held, same = (f"aggregate(used, 0, (total, v) -> total + v.{k})" for k in ("held", "same"))
+    """Adds ``out``, the likeness of two fingerprints; where no common subset holds a term, whether both are equal."""
+    shift = F.col(b) - F.col(a)
+    width = (F.lit(LEVELS) - F.least(F.abs(shift), F.lit(LEVELS))) * PER_LEVEL
+
+    def common(name: str, skipped: Column) -> Column:
+        first = F.least(F.greatest(skipped, F.lit(0)), F.lit(LEVELS)) * PER_LEVEL + 1
+        return F.slice(f"{name}_hashes", first, width)
+
+    equal = (F.col(a) == F.col(b)) & (F.col(f"{a}_hashes") == F.col(f"{b}_hashes"))
     return (
-        df.withColumn("pairs", F.expr(pairs))
-        .withColumn("by_level", F.expr(f"transform(sequence(0, {LEVELS - 1}), l -> named_struct({counts}))"))
-        .withColumn("used", F.expr(f"filter(by_level, (v, l) -> v.held < {PER_LEVEL} or l = {LEVELS - 1})"))
-        .withColumn(out, F.expr(f"if({held} > 0, {same} / {held}, cast({a} = {b} as double))"))
-        .drop("pairs", "by_level", "used")
+        df.withColumn("pairs", F.zip_with(common(a, shift), common(b, -shift), _held_and_same))
+        .withColumn("held", F.size(F.filter("pairs", lambda x: x >= 1)))
+        .withColumn("same", F.size(F.filter("pairs", lambda x: x == 2)))
+        .withColumn(out, F.when(F.col("held") > 0, F.col("same") / F.col("held")).otherwise(equal.cast("double")))
+        .drop("pairs", "held", "same")
     )
 
 
+def _held_and_same(x: Column, y: Column) -> Column:
+    """0: neither subset holds a term, 1: the hashes differ, 2: they agree."""
+    return F.when((x == "") & (y == ""), 0).when(x == y, 2).otherwise(1)
+
+
 def _below(bounds: list[int], value: Column) -> Column:
     """How many of the sorted ``bounds`` are less than ``value``; looks at a few of them only."""
     if not bounds:
@@ -135,9 +146,9 @@ def match_next(docs: DataFrame, shares: tuple[float, float] = SHARES) -> DataFra
 
     The edited text has the last floor(n_chars / 2) code points replaced by the first as many, or all, of the next
     document in descending doc_id; after the last comes the first. Returns doc_id, n_chars, edited_sha256, fingerprint,
-    edited_fingerprint (the subsets' hashes, joined by points), near_edited and near_next (likeness to the edited text
-    and to the next document, 0 to 1). A null text counts as empty; texts without any term have a fingerprint of points
-    alone, alike by 1 with each other and by 0 with all others. Repeated rows stay repeated, further columns are left
+    edited_fingerprint (first level and the subsets' hashes, joined by points), near_edited and near_next (likeness to
+    the edited text and to the next document, 0 to 1). A null text counts as empty; texts without any term have no
+    hashes, are alike by 1 with each other and by 0 with all others. Repeated rows stay repeated, further columns are left
     out, an empty table gives an empty result.
     """
     rows, n = with_next(docs)
@@ -176,11 +187,12 @@ def match_next(docs: DataFrame, shares: tuple[float, float] = SHARES) -> DataFra
     for w, name in ((0, "print"), (1, "edited_print")):
         few = F.size(f"known{w}") < FEW_TERMS
         chosen = F.when(few, F.concat(f"known{w}", f"first{w}")).otherwise(F.col(f"known{w}"))
-        gathered = _fingerprint(gathered.withColumn("chosen", chosen), "chosen", name).drop("chosen")
+        gathered = _with_fingerprint(gathered, chosen, name)
     order = Window.partitionBy("bucket").orderBy("place")
-    near = gathered.select("bucket", "place", "doc", "print", "edited_print").withColumn(
-        "next_print", F.lead("print").over(order)
-    )
+    prints = [f"{name}{part}" for name in ("print", "edited_print") for part in ("", "_hashes")]
+    near = gathered.select("bucket", "place", "doc", *prints)
+    for part in ("", "_hashes"):
+        near = near.withColumn(f"next_print{part}", F.lead(f"print{part}").over(order))
     near = near.where(~F.col("doc.ghost"))
     near = _with_likeness(near, "print", "edited_print", "near_edited")
     near = _with_likeness(near, "print", "next_print", "near_next")
@@ -188,8 +200,10 @@ def match_next(docs: DataFrame, shares: tuple[float, float] = SHARES) -> DataFra
         "doc.doc_id",
         "doc.n_chars",
         F.col("doc.sha").alias("edited_sha256"),
-        F.array_join("print", ".").alias("fingerprint"),
-        F.array_join("edited_print", ".").alias("edited_fingerprint"),
+        *(
+            F.concat_ws(".", F.col(a), F.array_join(f"{a}_hashes", ".")).alias(b)
+            for a, b in (("print", "fingerprint"), ("edited_print", "edited_fingerprint"))
+        ),
         "near_edited",
         "near_next",
     )
