@@ -22,7 +22,7 @@ from pathproof.llm.common import text_key
 
 #: Shares of documents between which a term is in the lexicon: inverse document frequencies of 2.3 to 6.9.
 SHARES = (0.001, 0.1)
-LEVELS, PER_LEVEL, HIGHEST_LEVEL = 3, 16, 20
+LEVELS, PER_LEVEL, HIGHEST_LEVEL = 3, 32, 20
 #: With fewer lexicon terms the first terms of the text are taken in, whatever their frequency.
 FEW_TERMS, FIRST_TERMS = 4, 8
 #: Documents of a bucket, and the number of buckets from which on they hold more; a window spills what does not fit.
