@@ -84,8 +84,8 @@ ORACLES: dict[str, str] = {
         WITH RECURSIVE v AS (
             SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e,
                    coalesce(len(embedding) > 0
-                            AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-                            AND len(list_filter(embedding, x -> x <> 0)) > 0, false) AS usable
+                            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                            AND len(list_filter(embedding, lambda x: x <> 0)) > 0, false) AS usable
             FROM embeddings
         ),
         links AS (
