@@ -120,10 +120,10 @@ def links(prints: DataFrame, radius: int = 3) -> DataFrame:
 
 
 def groups(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFrame:
-    """Rows (doc_id, text_key, fingerprint, component_id) for every row of ``docs`` (doc_id, text).
+    """Rows (doc_id, text_key, fingerprint, root, component_id) for every row of ``docs`` (doc_id, text).
 
     Documents whose fingerprints differ in at most ``radius`` bits are linked; ``component_id`` is the smallest doc_id
-    that links reach, the document's own included. Equal fingerprints are one node, so copies cost one row each. A
+    that links reach, the document's own included, ``root`` a fingerprint that names the component. Equal fingerprints are one node, so copies cost one row each. A
     null or empty text has the fingerprint 0 and is linked like any other. Null ids are passed over by the minimum; a
     component of null ids alone has a null id. Repeated rows stay repeated, further columns are left out, an empty
     table gives an empty result.
@@ -134,8 +134,8 @@ def groups(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFrame:
     roots = roots.withColumnsRenamed({"node": "fingerprint", "component": "root"})
     reach = nodes.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
     ids = stored(reach.groupBy("root").agg(F.min("least").alias("component_id")))
-    reach = reach.join(ids, "root").select("fingerprint", "component_id")
-    return prints.join(reach, "fingerprint").select("doc_id", "text_key", "fingerprint", "component_id")
+    reach = reach.join(ids, "root").select("fingerprint", "root", "component_id")
+    return prints.join(reach, "fingerprint").select("doc_id", "text_key", "fingerprint", "root", "component_id")
 
 
 def one_of_each_group(docs: DataFrame, words: int = 5, radius: int = 7) -> DataFrame:
@@ -146,9 +146,7 @@ def one_of_each_group(docs: DataFrame, words: int = 5, radius: int = 7) -> DataF
     """
     member = groups(docs, words, radius)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
-    # a group is named by its smallest id, or by nothing if it has none: those are told apart by their fingerprint
-    name = F.when(F.col("component_id").isNull(), F.col("fingerprint"))
-    chosen = member.groupBy("component_id", name.alias("nameless")).agg(F.min(order).alias("m")).select("m.*")
+    chosen = member.groupBy("root").agg(F.min(order).alias("m")).select("m.*")
     chosen = chosen.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
     keyed = docs.withColumn("__key2", text_key(F.col("text")))
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__key2") == F.col("__key"))
