@@ -2,6 +2,7 @@ from pathproof.functions.columns import (
     earth_distance_km,
     fraction_digits,
     json_scalar,
+    json_scalars,
     ping_time,
     round7,
     speed_kmh,
@@ -16,6 +17,7 @@ __all__ = [
     "earth_distance_km",
     "fraction_digits",
     "json_scalar",
+    "json_scalars",
     "ping_time",
     "round7",
     "speed_kmh",

@@ -32,7 +32,13 @@ def one(spark, column):
         (1.0e-4, 4),
         (12345678.9, 1),
         (106.1234567, 7),
-        (3.9000000953674316, 12),
+        (3.9000000953674316, 16),
+        (1.1 * 3600 / 1000, 16),
+        (1.25e-5, 7),
+        (0.000001234567890123, 18),
+        (1.5e10, 0),
+        (1.2345678912e7, 3),
+        (7, 0),
         (-10.25, 2),
         (Decimal("1.50000"), 1),
     ],

@@ -145,8 +145,8 @@ def test_accept_point_rules(spark):
 
 
 def fraction(x):
-    text = f"{Decimal(str(x)):.12f}".split(".")[1].rstrip("0")
-    return len(text)
+    whole, _, digits = format(Decimal(repr(x)), "f").partition(".")
+    return len(digits.rstrip("0"))
 
 
 MATCH = {
