@@ -1,7 +1,6 @@
 from pathproof.operators.asof import asof_lookup
 from pathproof.operators.intervals import holding, interval_join
 from pathproof.operators.latest import latest_by
-from pathproof.operators.lineage import cut_lineage
 from pathproof.operators.neighbours import neighbours
 from pathproof.operators.sampling import pick_per_class
 from pathproof.operators.slots import DAY, HOUR, MINUTE, slot, with_slot
@@ -11,7 +10,6 @@ __all__ = [
     "HOUR",
     "MINUTE",
     "asof_lookup",
-    "cut_lineage",
     "holding",
     "interval_join",
     "latest_by",

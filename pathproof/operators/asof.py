@@ -19,6 +19,7 @@ def asof_lookup(
     values: dict[str, Column],
     direction: str = "backward",
     width_s: int = HOUR,
+    look_back_s: int | None = None,
 ) -> DataFrame:
     """Add to each probe the nearest non-null value of each of ``values``.
 
@@ -31,7 +32,13 @@ def asof_lookup(
     to one row per (key, time), which also melts away copies. A window per
     (key, slot) finds the neighbour inside the slot; the one beyond comes from a
     window over one summary row per (key, slot).
+
+    With ``look_back_s`` only points at most that many seconds away need be found (others
+    may be). Slots are then at least that wide, the neighbour beyond lies in the next slot
+    on that side, and no window spans the history of a key.
     """
+    if look_back_s is not None:
+        width_s = max(width_s, look_back_s)
     keys = [key] if isinstance(key, str) else list(key)
     forward = direction == "forward"
     merge = F.min if forward else F.max
@@ -66,11 +73,16 @@ def asof_lookup(
     summary = times.groupBy(*keys, SLOT).agg(
         *[nearest(n, F.when(F.col(n).isNotNull(), F.col("_t"))).alias(n) for n in names]
     )
-    by_slot = F.col(SLOT).desc() if forward else F.col(SLOT).asc()
-    earlier = Window.partitionBy(*keys).orderBy(by_slot).rowsBetween(Window.unboundedPreceding, -1)
-    beyond = summary.select(
-        *keys, SLOT, *[F.last(n, ignorenulls=True).over(earlier).alias(f"_beyond_{n}") for n in names]
-    )
+    if look_back_s is not None:
+        beyond = summary.select(
+            *keys, (F.col(SLOT) + (-1 if forward else 1)).alias(SLOT), *[F.col(n).alias(f"_beyond_{n}") for n in names]
+        )
+    else:
+        by_slot = F.col(SLOT).desc() if forward else F.col(SLOT).asc()
+        earlier = Window.partitionBy(*keys).orderBy(by_slot).rowsBetween(Window.unboundedPreceding, -1)
+        beyond = summary.select(
+            *keys, SLOT, *[F.last(n, ignorenulls=True).over(earlier).alias(f"_beyond_{n}") for n in names]
+        )
     answers = found.join(beyond, [*keys, SLOT], "left").select(
         *keys, F.col("_t").alias(at), *[F.coalesce(F.col(n), F.col(f"_beyond_{n}")).alias(n) for n in names]
     )

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pathproof.operators.slots import HOUR, SLOT, slot, with_slot
@@ -33,10 +34,8 @@ def interval_join(
     lo: str,
     hi: str,
     how: str = "inner",
-    row_key: Sequence[str] = (),
     width_s: int = HOUR,
     within: Range | None = None,
-    few_spans: bool = False,
 ) -> DataFrame:
     """All pairs with equal ``key`` and ``lo <= time <= hi`` (both ends included).
 
@@ -46,16 +45,13 @@ def interval_join(
     ``within`` cuts spans to the range of the scanned points; a span with a broken
     start time then cannot unfold over decades.
 
-    ``how="left"`` keeps spans without a point; ``row_key`` names the columns that
-    identify a span. It is an inner join plus the spans it did not reach: a plain
-    outer join would return one empty row per slot. ``few_spans`` is for spans of a
-    fixed number, such as a sample: they are broadcast and the points are not shuffled.
+    ``how="left"`` keeps spans without a point. It is an inner join plus the spans it did
+    not reach, compared in all their columns: a plain outer join would return one empty
+    row per slot.
     """
-    slotted = _unfold(spans, lo, hi, width_s, within)
-    if few_spans:
-        slotted = F.broadcast(slotted)
     inner = (
-        slotted.join(with_slot(points, time, width_s), [key, SLOT])
+        _unfold(spans, lo, hi, width_s, within)
+        .join(with_slot(points, time, width_s), [key, SLOT])
         .where(F.col(time).between(F.col(lo), F.col(hi)))
         .drop(SLOT)
     )
@@ -63,14 +59,9 @@ def interval_join(
     inner = inner.select(*columns)
     if how == "inner":
         return inner
-    if not row_key:
-        raise ValueError("how='left' needs row_key")
-    if few_spans:
-        # Few pairs: match them back, so that the points are read once.
-        found = inner.drop(*[c for c in spans.columns if c not in row_key])
-        return spans.join(found, list(row_key), "left").select(*columns)
-    reached = inner.select(*row_key).distinct()
-    empty = spans.join(reached, list(row_key), "left_anti").select(
+    reached = inner.select(*[F.col(c).alias(f"_r_{c}") for c in spans.columns]).distinct()
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in spans.columns])
+    empty = spans.join(reached, same, "left_anti").select(
         *spans.columns,
         *[F.lit(None).cast(points.schema[c].dataType).alias(c) for c in points.columns if c != key],
     )
@@ -86,26 +77,42 @@ def holding(
     start: str = "start",
     end: str = "end",
     width_s: int = HOUR,
-    within: Range | None = None,
 ) -> DataFrame:
     """Distinct ``windows`` that hold at least one span: ``lo <= start`` and ``end <= hi``.
 
-    A semi join on (keys, slot): it stops at the first span that fits, so windows and
-    spans of a busy key are compared within a slot but never multiplied.
+    A window holds a span exactly when the smallest end among the spans that start at or
+    after ``lo`` is at most ``hi``. That end is a running minimum, taken backwards in time:
+    inside each (keys, slot), and over one summary row per (keys, slot) for the later ones.
+    Windows are not unfolded into slots, so a broken time costs nothing, and no window is
+    compared with more than one number.
     """
-    fitting = with_slot(spans.select(*on, start, end), start, width_s)
-    return (
-        _unfold(windows, lo, hi, width_s, within)
-        .alias("w")
-        .join(
-            fitting.alias("s"),
-            [
-                *[F.col(f"w.{c}") == F.col(f"s.{c}") for c in [*on, SLOT]],
-                F.col(f"w.{lo}") <= F.col(f"s.{start}"),
-                F.col(f"s.{end}") <= F.col(f"w.{hi}"),
-            ],
-            "left_semi",
+    marks = spans.select(*on, F.col(start).alias("_t"), F.col(end).alias("_end"))
+    asked = windows.select(*on, F.col(lo).alias("_t"), F.lit(None).cast(marks.schema["_end"].dataType).alias("_end"))
+    times = (
+        with_slot(
+            marks.withColumn("_asked", F.lit(False)).unionByName(asked.withColumn("_asked", F.lit(True))).dropna(
+                subset=[*on, "_t"]
+            ),
+            "_t",
+            width_s,
         )
-        .select(*windows.columns)
-        .distinct()
+        .repartition(*on, SLOT)
+        .groupBy(*on, SLOT, "_t")
+        .agg(F.min("_end").alias("_end"), F.max("_asked").alias("_asked"))
+    )
+    inside = Window.partitionBy(*on, SLOT).orderBy(F.col("_t").desc()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    found = times.select(*on, SLOT, "_t", "_asked", F.min("_end").over(inside).alias("_end")).where("_asked")
+    later = Window.partitionBy(*on).orderBy(F.col(SLOT).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    beyond = (
+        times.groupBy(*on, SLOT)
+        .agg(F.min("_end").alias("_end"))
+        .select(*on, SLOT, F.min("_end").over(later).alias("_beyond"))
+    )
+    ends = found.join(beyond, [*on, SLOT], "left").select(
+        *on, F.col("_t").alias(lo), F.least("_end", "_beyond").alias("_end")
+    )
+    return (
+        windows.join(ends, [*on, lo]).where(F.col("_end") <= F.col(hi)).select(*windows.columns).distinct()
     )

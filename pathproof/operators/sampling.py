@@ -7,25 +7,21 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Up to this rank Spark cuts a ranking before the shuffle by itself.
-CUT_BEFORE_SHUFFLE = 1000
 _SHARES = 256
 
 
 def pick_per_class(df: DataFrame, by: str | None, per_class: int, order: Sequence[Column]) -> DataFrame:
     """The first ``per_class`` rows of each class in ``order``.
 
-    ``order`` must be total, so that a rerun picks the same rows. Spark drops rows
-    beyond the limit before the shuffle, hence a class holding most of the data sends
-    only ``per_class`` rows per map task. For larger samples each class is first ranked
-    in shares: the first rows of the class are among the first rows of its shares.
+    ``order`` must be total, so that a rerun picks the same rows. Each class is first
+    ranked in shares: the first rows of the class are among the first rows of its shares,
+    so a class that holds most of the data is never sorted in one task.
     """
     if by is None:
         return df.orderBy(*order).limit(per_class)
-    if per_class > CUT_BEFORE_SHUFFLE:
-        share = F.pmod(F.xxhash64(*df.columns), F.lit(_SHARES))
-        df = _first(df.withColumn("_share", share), [by, "_share"], per_class, order).drop("_share")
-    return _first(df, [by], per_class, order)
+    share = F.pmod(F.xxhash64(*df.columns), F.lit(_SHARES))
+    shared = _first(df.withColumn("_share", share), [by, "_share"], per_class, order).drop("_share")
+    return _first(shared, [by], per_class, order)
 
 
 def _first(df: DataFrame, by: Sequence[str], n: int, order: Sequence[Column]) -> DataFrame:

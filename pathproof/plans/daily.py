@@ -42,7 +42,8 @@ def run_daily(
     """Rebuild the days ``[lo, hi]`` of every table under ``out``.
 
     Each stage reads the tables of the earlier ones from storage, so a stage that fails
-    is repeated alone, and the pings are cleaned and made distinct once for all rules.
+    is repeated alone, and the pings are cleaned once. Phases and rules make them distinct
+    in the columns they read.
     """
     rule_set = list(rules.RULES.values()) if rule_set is None else list(rule_set)
 
@@ -64,7 +65,7 @@ def run_daily(
 
     points = stored(features.accept_points(orders, pings, width_s=width_s), "accept_points")
     for phase in phases:
-        stored(features.order_pings(orders, pings, phase, width_s=width_s), f"pings_{phase}")
+        stored(features.order_pings(orders, pings, phase, width_s=width_s, lo=lo, hi=hi), f"pings_{phase}")
 
     # Orders with broken times must not unfold beyond the days that have pings.
     within = (datetime.combine(lo - timedelta(days=1), time.min), datetime.combine(hi, time.max))

@@ -8,7 +8,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathproof.functions import json_scalar
+from pathproof.functions import json_scalars
 from pathproof.operators import HOUR, asof_lookup
 
 # Fixed values of the device log.
@@ -102,9 +102,8 @@ def login_devices(
         .select(
             F.col("user_id").try_cast("bigint").alias("account_id"),
             F.col("event_local_datetime").alias("date_time"),
-            json_scalar("entities", device_path).alias("device"),
-            json_scalar("entities", tags_path).alias("tags"),
             "platform",
+            F.inline(json_scalars("entities", device=device_path, tags=tags_path)),
         )
         .where(F.trim("device") != "")
     )
@@ -135,6 +134,7 @@ def attribute_devices(
         "date_time",
         {"_login": F.struct("date_time", "device", "tags", "platform")},
         width_s=width_s,
+        look_back_s=look_back_s,
     )
     recent = c("_login.date_time") >= c("create_time") - F.make_dt_interval(
         F.lit(0), F.lit(0), F.lit(0), F.lit(look_back_s)

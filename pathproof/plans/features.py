@@ -7,7 +7,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pathproof.functions import ping_time, round7, speed_kmh, split_number, upload_wall_time, wall_time
+from pathproof.functions import ping_time, speed_kmh, split_number, upload_wall_time, wall_time
 from pathproof.operators import HOUR, asof_lookup, interval_join, latest_by
 from pathproof.plans.measures import ORDER_COLUMNS, distinct_pings, with_measures
 
@@ -62,14 +62,13 @@ def clean_pings(
         "working_city_id",
         *(["driver_name"] if with_names else []),
     )
-    home = cities.select(F.col("id").alias("_city"), F.col("name").alias("driver_city"), "country_id")
-    return (
-        measured.join(drivers, "driver_account_id", "left")
-        # The country is part of the match: a city abroad must give a NULL name, not drop the ping.
-        .join(home, (F.col("working_city_id") == F.col("_city")) & (F.col("country_id") == HOME_COUNTRY), "left")
-        .drop("working_city_id", "_city", "country_id")
-        .withColumn("grass_date", F.col("ping_date"))
+    # A city abroad gives a NULL name and does not drop the ping. Both dimensions are small:
+    # they are joined with each other first, and once with the pings.
+    home = cities.where(F.col("country_id") == HOME_COUNTRY).select(
+        F.col("id").alias("working_city_id"), F.col("name").alias("driver_city")
     )
+    drivers = drivers.join(home, "working_city_id", "left").drop("working_city_id")
+    return measured.join(drivers, "driver_account_id", "left").withColumn("grass_date", F.col("ping_date"))
 
 
 def _driver_names(profiles: DataFrame, with_names: bool) -> DataFrame:
@@ -219,6 +218,15 @@ def with_accept_pairs(orders: DataFrame, pairs: DataFrame) -> DataFrame:
     return orders.join(pairs, ["order_id", "driver_id"], "left")
 
 
+_UNITS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
+
+def seconds_of(interval: str) -> int:
+    """Seconds of an interval such as ``5 minutes``."""
+    number, unit = interval.split()
+    return int(number) * _UNITS[unit.lower().removesuffix("s")]
+
+
 _PLACES = ("accept_latitude", "accept_longitude", "store_latitude", "store_longitude")
 
 
@@ -235,7 +243,7 @@ def accept_points(
     order without a ping is dropped, as one region does, or kept with its logged place
     (``keep_unseen``), as the other does.
     """
-    tie = [c for c in ("upload_time", "event_id") if c in pings.columns]
+    tie = [c for c in ("upload_time",) if c in pings.columns]
     seen = asof_lookup(
         orders.select(*ORDER_COLUMNS, *_PLACES),
         pings.where(F.col("ping_time").isNotNull()),
@@ -244,6 +252,7 @@ def accept_points(
         "ping_time",
         {"_ping": F.struct("ping_time", *tie, "latitude", "longitude")},
         width_s=width_s,
+        look_back_s=seconds_of(look_back),
     )
     fresh = F.col("_ping.ping_time") > F.col("delivery_assign_time") - F.expr(f"interval {look_back}")
     seen = seen.withColumn("_ping", F.when(fresh, F.col("_ping")))
@@ -321,7 +330,3 @@ def with_trip_phase(df: DataFrame, pad: str = PAD) -> DataFrame:
         .when(t.between(picked, delivered), "middle")
         .when(t.between(delivered, delivered + widen), "end"),
     )
-
-
-def rounded_places(points: DataFrame) -> DataFrame:
-    return points.withColumns({c: round7(c) for c in _PLACES})

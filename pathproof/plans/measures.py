@@ -14,7 +14,6 @@ from pathproof.functions import fraction_digits
 PING_FEATURES = (
     "ping_time",
     "upload_time",
-    "event_id",
     "latitude",
     "longitude",
     "speed_kmh",

@@ -14,10 +14,15 @@ TOTAL = "All"
 
 
 def calendar(days: DataFrame, day: str = "report_date") -> DataFrame:
-    """Date dimension of the distinct days in a column: ISO weeks (Monday first) and months."""
+    """Date dimension of all days between the first and the last of a column: ISO weeks (Monday first) and months.
+
+    Days without a row of the table are days, too. A table without rows has none.
+    """
     d = F.col("report_date")
     week, month = F.trunc(d, "week"), F.trunc(d, "month")
-    return days.select(F.col(day).cast("date").alias("report_date")).distinct().select(
+    seen = F.col(day).cast("date")
+    bounds = days.agg(F.min(seen).alias("first"), F.max(seen).alias("last"))
+    return bounds.select(F.explode(F.sequence("first", "last")).alias("report_date")).select(
         d,
         (F.extract(F.lit("YEAROFWEEK"), d) * 100 + F.weekofyear(d)).alias("year_week"),
         week.alias("first_day_of_week"),
@@ -106,20 +111,32 @@ def behavior_report(tags: DataFrame, spans: DataFrame) -> DataFrame:
         .groupBy(*period)
         .agg(F.countDistinct("order_id").alias("net_order"))
     )
-    return tagged.join(net, period).select(*period, "types", "behavior", "cnt_order", "net_order")
+    report = tagged.join(net, period).select(*period, "types", "behavior", "cnt_order", "net_order")
+    return report.orderBy("period_grp", "period", "types", "behavior")
 
 
 def average_drivers(
-    tags: DataFrame, behavior_like: str = RULES_PATTERN, by: str = "month", unit: str = "month"
+    tags: DataFrame,
+    behavior_like: str = RULES_PATTERN,
+    by: str = "month",
+    unit: str = "month",
+    lo: date | None = None,
+    hi: date | None = None,
 ) -> DataFrame:
-    """Average over days of the distinct tagged drivers per day, for each month (or week) number."""
+    """Average over days of the distinct tagged drivers per day, for each month (or week) number.
+
+    Numbers repeat every year: give ``lo`` and ``hi``, the range of days, for tables of more than one.
+    """
     number = F.month("order_date") if unit == "month" else F.weekofyear("order_date")
+    if lo is not None:
+        tags = tags.where(F.col("order_date").between(F.lit(lo), F.lit(hi)))
     return (
         tags.where((F.col("behavior") != "") & F.col("behavior").like(behavior_like))
         .groupBy("order_date")
         .agg(F.countDistinct("driver_id").alias("cnt_driver"))
         .groupBy(number.alias(by))
         .agg(F.avg("cnt_driver").alias("avg_driver"))
+        .orderBy(by)
     )
 
 
@@ -175,4 +192,5 @@ def bad_debt_monthly(cases: DataFrame) -> DataFrame:
         .agg(F.countDistinct("cheater").alias("cnt_driver"), F.sum("loss").alias("loss"))
         .groupBy(F.month("submit_date").alias("grass_month"))
         .agg(F.avg("cnt_driver").alias("avg_driver"), F.sum("loss").alias("total_loss"))
+        .orderBy("grass_month")
     )

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pathproof.operators import HOUR, holding, interval_join, neighbours, pick_per_class
+from pathproof.operators.intervals import Range
 from pathproof.plans.features import PAD, with_trip_phase
 from pathproof.plans.reports import PROXY_PATTERN
 from pathproof.plans.tags import LONG_DIGITS, SAME_ACCURACY, TAMPERED_APP
@@ -17,18 +18,17 @@ from pathproof.plans.tags import LONG_DIGITS, SAME_ACCURACY, TAMPERED_APP
 SAMPLED_BEHAVIORS = (LONG_DIGITS, TAMPERED_APP, SAME_ACCURACY)
 PER_CLASS = 200
 
-# Samples up to this many orders are broadcast to the pings.
-FEW_ORDERS = 2000
-
 _TIMES = ("delivery_assign_time", "delivery_pickup_time", "delivery_delivered_time")
 _PING = ("ping_time", "latitude", "longitude", "speed_kmh", "accuracy", "head")
 
 
-def phase_pings(orders: DataFrame, pings: DataFrame, pad: str = PAD, width_s: int = HOUR, few: bool = False) -> DataFrame:
-    """Orders with all their pings and the phase of each; orders without pings stay.
+def phase_pings(
+    orders: DataFrame, pings: DataFrame, pad: str = PAD, width_s: int = HOUR, within: Range | None = None
+) -> DataFrame:
+    """Orders with all their pings and the phase of each; order rows without pings stay.
 
-    ``few`` says that ``orders`` is a sample of fixed size: it is sent to the pings
-    instead of shuffling them.
+    Pings are told apart by the columns that reviewers see. ``within`` is the time range
+    of the pings: orders with broken times then do not unfold beyond it.
     """
     widen = F.expr(f"interval {pad}")
     rows = orders.withColumns(
@@ -36,15 +36,14 @@ def phase_pings(orders: DataFrame, pings: DataFrame, pad: str = PAD, width_s: in
     )
     joined = interval_join(
         rows,
-        pings.select("driver_id", *[c for c in (*_PING, "event_id") if c in pings.columns]),
+        pings.select("driver_id", *[c for c in _PING if c in pings.columns]),
         "driver_id",
         "ping_time",
         "_lo",
         "_hi",
         how="left",
-        row_key=[c for c in ("order_id", "behavior", *_TIMES) if c in rows.columns],
         width_s=width_s,
-        few_spans=few,
+        within=within,
     )
     return with_trip_phase(joined.drop("_lo", "_hi"), pad).distinct()
 
@@ -113,8 +112,7 @@ def sample_hits(
     key = ["order_id", "behavior"]
     complete = orders_with_all_phases(tagged, pings, key, pad, width_s)
     chosen = pick_per_class(complete, "behavior", per_class, order or seeded_order())
-    few = per_class * len(behaviors) <= FEW_ORDERS
-    return phase_pings(tagged.join(chosen, key, "left_semi"), pings, pad, width_s, few)
+    return phase_pings(tagged.join(chosen, key, "left_semi"), pings, pad, width_s)
 
 
 def sample_controls(
@@ -133,7 +131,7 @@ def sample_controls(
         clean = clean.where(F.col("order_date").between(F.lit(lo), F.lit(hi)))
     complete = orders_with_all_phases(clean, pings, ["order_id"], pad, width_s)
     chosen = pick_per_class(complete, None, n, order or seeded_order())
-    return phase_pings(clean.join(chosen, "order_id", "left_semi"), pings, pad, width_s, n <= FEW_ORDERS)
+    return phase_pings(clean.join(chosen, "order_id", "left_semi"), pings, pad, width_s)
 
 
 def untagged_drivers_orders(tags: DataFrame) -> DataFrame:
@@ -197,18 +195,17 @@ _SHOWN = ("order_date", "order_id", "driver_id", "period", "ping_time", "accurac
 
 def review_check(sample: DataFrame, check: Check, width_s: int = HOUR) -> DataFrame:
     """Pings of the sample that hit the check together with the ping before or after."""
-    tie = [c for c in ("event_id",) if c in sample.columns]
     shown = [*_SHOWN, *check.show]
     # A time comes first in the order of neighbours; orders without pings have none to show.
     pings = sample.where(F.col("ping_time").isNotNull())
     if isinstance(check, FlagCheck):
         rows = pings.select(
-            *shown, *tie, F.coalesce(F.expr(check.when), F.lit(False)).cast("int").alias("is_sop")
+            *shown, F.coalesce(F.expr(check.when), F.lit(False)).cast("int").alias("is_sop")
         )
         tested, mine = ["is_sop"], F.col("is_sop") == 1
         extra = ["is_sop"]
     else:
-        rows = pings.where(check.where).select(*shown, *tie)
+        rows = pings.where(check.where).select(*shown)
         rows = rows.distinct() if check.distinct else rows
         tested, mine = list(check.same), F.lit(True)
         extra = []
@@ -219,7 +216,7 @@ def review_check(sample: DataFrame, check: Check, width_s: int = HOUR) -> DataFr
             same = same & (F.col(c) == F.col(f"_{side}_{c}"))
         return F.coalesce(same, F.lit(False))
 
-    order = ["ping_time", *tie, *[c for c in (*shown, *extra) if c not in ("order_id", "ping_time")]]
+    order = ["ping_time", *[c for c in (*shown, *extra) if c not in ("order_id", "ping_time")]]
     return (
         neighbours(
             rows,

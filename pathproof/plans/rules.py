@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from pathproof.functions import earth_distance_km, fraction_digits, round7, whole_seconds_between
 from pathproof.operators import HOUR, holding, interval_join, neighbours, with_slot
 from pathproof.operators.intervals import Range
-from pathproof.operators.lineage import cut_lineage
 from pathproof.operators.slots import SLOT
 from pathproof.plans.measures import ORDER_COLUMNS, PING_FEATURES, distinct_pings, with_measures
 
@@ -315,16 +314,16 @@ def order_hits(
     )
     feature_rows = with_measures(pings) if pings_are_distinct else distinct_pings(pings)
     if one_row_per_order:
-        hits = _hits_by_driver(rows, feature_rows, rules, width_s, within)
+        hits = _hits_by_driver(rows, feature_rows, rules, width_s)
     else:
         rows = rows.distinct()
         repeated = rows.groupBy("order_id").count().where("count > 1").select("order_id")
         hits = _hits_by_driver(
-            rows.join(repeated, "order_id", "left_anti"), feature_rows, rules, width_s, within
+            rows.join(repeated, "order_id", "left_anti"), feature_rows, rules, width_s
         ).unionByName(
             _hits_by_order(rows.join(repeated, "order_id", "left_semi"), feature_rows, rules, width_s, within)
         )
-    return _without_pardoned(hits, rows, feature_rows, rules, width_s, within)
+    return _without_pardoned(hits, rows, feature_rows, rules, width_s)
 
 
 def _code(what: Column) -> Column:
@@ -346,29 +345,15 @@ def _whats(rules: Sequence[Rule]) -> list[str]:
     ]
 
 
-def _hits_by_driver(
-    rows: DataFrame, pings: DataFrame, rules: Sequence[Rule], width_s: int, within: Range | None
-) -> DataFrame:
+def _hits_by_driver(rows: DataFrame, pings: DataFrame, rules: Sequence[Rule], width_s: int) -> DataFrame:
     """Orders with one row each: does the order's window hold a span of its driver?"""
     spans = rule_spans(pings, "driver_id", rules, width_s=width_s)
-    whats = _whats(rules)
-    if len(whats) <= _FEW:
-        asked = rows.withColumn("what", F.explode(F.array(*[F.lit(w) for w in whats])))
-    else:
-        # Ask only for the rules the driver has any span of. The spans of many rules are
-        # read twice here: keep them, so that the pings are passed over once.
-        spans = cut_lineage(spans)
-        asked = rows.join(spans.select("driver_id", "what").distinct(), "driver_id")
+    asked = rows.withColumn("what", F.explode(F.array(*[F.lit(w) for w in _whats(rules)])))
     windows = asked.select(*GROUP, "what", "_from", "delivery_pickup_time")
-    held = holding(
-        windows, spans, ["driver_id", "what"], "_from", "delivery_pickup_time", width_s=width_s, within=within
-    )
+    held = holding(windows, spans, ["driver_id", "what"], "_from", "delivery_pickup_time", width_s=width_s)
     return held.select(*GROUP, _code(F.col("what")).alias("code")).distinct()
 
 
-_FEW = 3
-
-
 def _hits_by_order(
     rows: DataFrame, pings: DataFrame, rules: Sequence[Rule], width_s: int, within: Range | None
 ) -> DataFrame:
@@ -396,7 +381,6 @@ def _without_pardoned(
     pings: DataFrame,
     rules: Sequence[Rule],
     width_s: int,
-    within: Range | None,
 ) -> DataFrame:
     """Take back hits of orders with a pardoning ping between pickup and delivery."""
     nets = {net: f"net{i}" for i, net in enumerate(_unique(*[r.net for r in rules if r.net]))}
@@ -410,6 +394,12 @@ def _without_pardoned(
         F.col("ping_time").alias("start"),
         F.col("ping_time").alias("end"),
     )
+    net_of = F.coalesce(
+        *[
+            F.when(F.col("code").isin([r.code for r in rules if r.net == net]), F.lit(name))
+            for net, name in nets.items()
+        ]
+    )
     trips = rows.select(
         "order_id",
         "driver_id",
@@ -424,14 +414,7 @@ def _without_pardoned(
         "delivery_pickup_time",
         "delivery_delivered_time",
         width_s=width_s,
-        within=within,
     ).select("order_id", "net")
-    net_of = F.coalesce(
-        *[
-            F.when(F.col("code").isin([r.code for r in rules if r.net == net]), F.lit(name))
-            for net, name in nets.items()
-        ]
-    )
     return (
         hits.withColumn("net", net_of).join(pardoned, ["order_id", "net"], "left_anti").select(*GROUP, "code")
     )

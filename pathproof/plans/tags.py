@@ -121,14 +121,15 @@ BEHAVIORS = {
 def tag_orders(orders: DataFrame, hits: DataFrame, behaviors: Mapping[str, str] = BEHAVIORS) -> DataFrame:
     """Orders in long form, one row per behavior, ``''`` for a clean order.
 
-    ``hits`` has ``order_id`` and ``code`` of flagged orders. Codes without a behavior do
-    not tag.
+    ``hits`` has ``order_id`` and ``code`` of flagged orders. A code without a behavior
+    tags as a rule of its own, ``Rules_`` and the code.
     """
     named = F.coalesce(
         *[
             F.when(F.col("code").isin([c for c, b in behaviors.items() if b == behavior]), F.lit(behavior))
             for behavior in dict.fromkeys(behaviors.values())
-        ]
+        ],
+        F.concat(F.lit("Rules_"), "code"),
     )
     tags = hits.select("order_id", named.alias("behavior")).where(F.col("behavior").isNotNull()).distinct()
     return orders.join(tags, "order_id", "left").withColumn("behavior", F.coalesce("behavior", F.lit("")))

@@ -52,6 +52,13 @@ def read_risk_events(
     schema: StructType | None = None,
 ) -> DataFrame:
     """Rule engine log of some events of one region."""
-    return read_between(spark, path, "grass_date", lo, hi, schema).where(
-        F.col("event_id").isin(*event_ids) & (F.col("grass_region") == region)
+    return risk_events(read_table(spark, path, schema), event_ids, region, lo, hi)
+
+
+def risk_events(log: DataFrame, event_ids: Sequence[int], region: str, lo: date, hi: date) -> DataFrame:
+    """Events of the given kinds, region and days."""
+    return log.where(
+        F.col("grass_date").between(F.lit(lo), F.lit(hi))
+        & F.col("event_id").isin(*event_ids)
+        & (F.col("grass_region") == region)
     )
