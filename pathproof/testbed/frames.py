@@ -18,14 +18,20 @@ _TAG = "case k % {n} when 0 then 'is_repack' when 1 then 'is_fake_df' when 2 the
 
 VIEWS = {
     "pings": f"""
-        select event_id, user_id as driver_id, ts as ping_time, ts as upload_time, cast(ts as date) as ping_date,
-          cast(10 + (user_id % 50) * 0.01 + (event_id % 7) * 0.0123456 + {_JITTER} as decimal(18,9)) as latitude,
-          cast(106 + (user_id % 30) * 0.01 + (event_id % 5) * 0.0123456 + {_JITTER} as decimal(18,9)) as longitude,
-          cast(case when event_id % 6 = 0 then k * 0.36 when event_id % 6 = 1 then 0.36
-               else event_id % 60 + 0.12345 end as decimal(18,5)) as speed_kmh,
-          cast((case user_id % 5 when 0 then 0 when 1 then 1 when 2 then 3 when 3 then 4 else 7 end)
+        select 'e' || cast(event_id as string) as device_id, user_id as driver_id, ts as ping_time, ts as upload_time,
+          cast(ts as date) as ping_date,
+          cast(cast(10 + (user_id % 50) * 0.01 + (event_id % 7) * 0.0123456 + {_JITTER} as decimal(18,9)) as double)
+            as latitude,
+          cast(cast(106 + (user_id % 30) * 0.01 + (event_id % 5) * 0.0123456 + {_JITTER} as decimal(18,9)) as double)
+            as longitude,
+          case when event_id % 24 = 2 then 1.1e0 * 3600 / 1000 when event_id % 24 = 8 then 2.2e0 * 3600 / 1000
+               when event_id % 24 = 14 then 8.2e0 * 3600 / 1000 else
+            cast(cast(case when event_id % 6 = 0 then k * 0.36 when event_id % 6 = 1 then 0.36
+               else event_id % 60 + 0.12345 end as decimal(18,5)) as double) end as speed_kmh,
+          cast(cast((case user_id % 5 when 0 then 0 when 1 then 1 when 2 then 3 when 3 then 4 else 7 end)
             + case when (user_id % 4 = 0 and event_id % 10 = 0) or (user_id % 4 <> 0 and event_id % 10 <> 0)
-                   then (event_id % 97) * 0.00100 + 0.00012 else (event_id % 9) * 0.10 end as decimal(18,5)) as accuracy,
+                   then (event_id % 97) * 0.00100 + 0.00012 else (event_id % 9) * 0.10 end as decimal(18,5)) as double)
+            as accuracy,
           cast(event_id % 8 as int) as head
         from ev where event_type <> 'purchase'""",
     "trips": f"""
@@ -89,10 +95,10 @@ VIEWS = {
           case o_orderstatus when 'F' then 800 when 'O' then 440 else 100 end as order_status from orders""",
     "pair_log": """
         select l_orderkey as order_id, l_suppkey as driver_id,
-          cast(10 + l_discount as decimal(18,7)) as store_latitude,
-          cast(106 + l_tax as decimal(18,7)) as store_longitude,
-          cast(10 + l_tax as decimal(18,7)) as driver_latitude,
-          cast(106 + l_discount as decimal(18,7)) as driver_longitude,
+          cast(10.1234567 + l_discount as decimal(18,7)) as store_latitude,
+          cast(106.1234567 + l_tax as decimal(18,7)) as store_longitude,
+          cast(10.1234567 + l_tax as decimal(18,7)) as driver_latitude,
+          cast(106.1234567 + l_discount as decimal(18,7)) as driver_longitude,
           (ship_day * 86400 + 3600) * 1000 as create_time, cast(cast(l_shipdate as date) as string) as dt from li""",
     "risk_events": f"""
         select user_id, 16 as event_id, ts as event_local_datetime, cast(ts as date) as grass_date,

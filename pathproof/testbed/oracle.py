@@ -6,13 +6,82 @@ rule looks at all pings of every order with ordinary window functions.
 
 from __future__ import annotations
 
-from pathproof.plans.devices import RISKY_TAGS, RISKY_TAGS_SECOND_PLATFORM
-from pathproof.plans.reports import FRAUD_KINDS
-from pathproof.plans.review import CHECKS as REVIEW_CHECKS
-from pathproof.plans.rules import RULES, RunRule
-from pathproof.plans.tags import BEHAVIORS, TAMPERED_APP_TAGS
 from pathproof.testbed.frames import VIEWS, sources_of
-from pathproof.testbed.queries import CHECKS, NARROW_CODES, PER_CLASS
+
+# Fixed values, written out here: nothing is taken from the code that the statements check.
+PER_CLASS = 40
+NARROW_CODES = ("006", "008", "010", "016", "115", "215")
+ACCURACY_ROW = "ping_time, upload_time, accuracy"
+FULL_ROW = "ping_time, upload_time, latitude, longitude, speed_kmh, accuracy, head"
+SPEED_GROUPS = ("0.36, 3.6", "0.72, 7.2", "10.8")
+FLAG_AT = {"006": 3, "016": 3, "115": 3}
+
+#: Run rules: columns a row consists of, what five rows in a row match, and what pardons on the trip.
+RUNS = {
+    "010": (FULL_ROW, "lat_digit > 7 and lon_digit > 7", None),
+    "016": (ACCURACY_ROW, "round_accuracy = 1 and acc_digit < 5", "round_accuracy = 1"),
+    "017": (ACCURACY_ROW, "round_accuracy = 0 and acc_digit < 5", "round_accuracy = 0"),
+    "109": (ACCURACY_ROW, "round_accuracy = 4 and acc_digit >= 5", "acc_digit >= 5"),
+    "111": (ACCURACY_ROW, "round_accuracy = 0 and acc_digit >= 5", "acc_digit >= 5"),
+    "112": (ACCURACY_ROW, "round_accuracy = 1 and acc_digit >= 5", "acc_digit >= 5"),
+    "113": (ACCURACY_ROW, "round_accuracy = 7 and acc_digit >= 5", "acc_digit >= 5"),
+    "114": (ACCURACY_ROW, "round_accuracy = 3 and acc_digit >= 5", "acc_digit >= 5"),
+    "115": (ACCURACY_ROW, "acc_digit >= 5", "acc_digit >= 5"),
+    "209": (ACCURACY_ROW, "round_accuracy = 4 and acc_digit >= 5 and speed_digit >= 5", None),
+    "211": (ACCURACY_ROW, "round_accuracy = 0 and acc_digit >= 5 and speed_digit >= 5", None),
+    "212": (ACCURACY_ROW, "round_accuracy = 1 and acc_digit >= 5 and speed_digit >= 5", None),
+    "213": (ACCURACY_ROW, "round_accuracy = 7 and acc_digit >= 5 and speed_digit >= 5", None),
+    "214": (ACCURACY_ROW, "round_accuracy = 3 and acc_digit >= 5 and speed_digit >= 5", None),
+    "215": (ACCURACY_ROW, "acc_digit >= 5 and speed_digit >= 5", None),
+}
+CODES = ("006", "008", *RUNS)
+
+BEHAVIORS = {
+    "016": "Proxy_Repetitive same accuracy",
+    "017": "Proxy_Repetitive same accuracy",
+    "209": "Proxy_Repetitive long decimal digit of accuracy and speed",
+    "211": "Proxy_Repetitive long decimal digit of accuracy and speed",
+    "212": "Proxy_Repetitive long decimal digit of accuracy and speed",
+    "213": "Proxy_Repetitive long decimal digit of accuracy and speed",
+    "214": "Proxy_Repetitive long decimal digit of accuracy and speed",
+    "215": "Proxy_Repetitive long decimal digit of accuracy and speed",
+    "app": "Proxy_Repacked App usage",
+    "001": "Rules_Accepted at the store point",
+    "004": "Rules_Repeated accept point",
+    "006": "Rules_Jump between pings",
+    "008": "Rules_Repeated typical speed",
+    "010": "Rules_Long coordinates",
+    "109": "Rules_Repetitive long decimal digit of accuracy",
+    "111": "Rules_Repetitive long decimal digit of accuracy",
+    "112": "Rules_Repetitive long decimal digit of accuracy",
+    "113": "Rules_Repetitive long decimal digit of accuracy",
+    "114": "Rules_Repetitive long decimal digit of accuracy",
+    "115": "Rules_Repetitive long decimal digit of accuracy",
+}
+
+TAMPERED_APP_TAGS = """is_repack_v7 is_repack_v6 is_fake_protocol is_cinfo_lost is_repack is_repack_v2 is_repack_v3
+  is_repack_v4 is_repack_v5 is_lspatch_repack_tag is_suspicious_so is_wrong_pkg_name is_no_deviceid_match is_fake_df
+  is_status_code_dex_fail is_status_code_collect_fail is_status_code_report_fail is_fake_android_so is_df_length_long
+  is_running_magisk is_running_magisk_v2 is_faker_edxposed_running""".split()
+
+RISKY_TAGS = """is_plt_hook is_inline_hook is_app_multi_open_system is_app_multi_open_app is_app_multi_open_system_vmos
+  is_emulator is_system_debuggable is_debugging is_auto_framework is_phone_farm is_gps_modified is_cloud_phone is_repack
+  is_wrong_pkg_name is_black_rom is_fake_protocol is_fake_df is_no_deviceinfo is_fake_deviceinfo is_suspicious_so
+  is_newdevice_haverisk is_ochook is_fishhook is_risk_app_running_cheatingapp is_risk_app_running_automation
+  is_binder_hook is_signature_api_hook is_deviceinfo_lost is_lsposed_running is_faker_edxposed_running
+  is_faker_virtualapp_running is_faker_lsposed_running is_app_debuggable is_java_hook is_running_acc_autojs
+  is_lspatch_repack""".split()
+RISKY_TAGS_SECOND_PLATFORM = ("is_newdevice_haverisk", "is_fake_deviceinfo")
+
+FRAUD_KINDS = {
+    "dc-011": "Driver complete order with delivering food",
+    "dc-004": "Driver complete order with delivering food",
+    "dc-018": "Improper use of edit order function to change order amount",
+    "dc-007": "Collusion / Fake / Suspicious Orders",
+    "dc-008": "Collusion / Fake / Suspicious Orders",
+    "dc-014": "Collusion / Fake / Suspicious Orders",
+    "dc-017": "Collusion / Fake / Suspicious Orders",
+}
 
 ORACLES: dict[str, str] = {}
 
@@ -38,7 +107,11 @@ def _needed(text: str) -> list[str]:
 
 
 def _digits(x: str) -> str:
-    return f"length(rtrim(split_part(cast(cast({x} as decimal(38,12)) as varchar), '.', 2), '0'))"
+    """Of the number's own text: digits of the mantissa, less the exponent where there is one."""
+    text = f"cast({x} as varchar)"
+    mantissa, power = f"split_part({text}, 'e', 1)", f"split_part({text}, 'e', 2)"
+    fraction = f"length(rtrim(split_part({mantissa}, '.', 2), '0'))"
+    return f"greatest(0, {fraction} - cast(coalesce(nullif({power}, ''), '0') as int))"
 
 
 _MEASURED = f"""floor(accuracy) as round_accuracy, {_digits('accuracy')} as acc_digit,
@@ -49,7 +122,7 @@ _ORDER = """o.order_id, o.driver_id, o.create_time, o.order_date, o.delivery_ass
 
 
 def _phase(lo: str, hi: str, orders: str = "trips") -> str:
-    return f"""select distinct {_ORDER}, p.event_id, p.ping_time, p.upload_time, p.latitude, p.longitude,
+    return f"""select distinct {_ORDER}, p.device_id, p.ping_time, p.upload_time, p.latitude, p.longitude,
       p.speed_kmh, p.head, p.accuracy, {_MEASURED}
       from {orders} o join pings p on o.driver_id = p.driver_id and p.ping_time between {lo} and {hi}"""
 
@@ -71,10 +144,10 @@ def _add(name: str, body: str, **ctes: str) -> None:
 
 _add(
     "fraction_digits",
-    f"""select event_id, {_digits('accuracy')} as acc_digit, {_digits('speed_kmh')} as speed_digit,
-    {_digits('latitude')} as lat_digit,
-    cast(case when {_digits('latitude')} > 7 then round(latitude, 7) else latitude end as decimal(18,9)) as lat7
-    from pings""",
+    f"""select device_id, {_digits('accuracy')} as acc_digit, {_digits('speed_kmh')} as speed_digit,
+    {_digits('latitude')} as lat_digit, {_digits('(latitude / 1000000)')} as small_digit,
+    cast(case when {_digits('latitude')} > 7 then round(cast(latitude as decimal(18,9)), 7)
+      else cast(latitude as decimal(18,9)) end as decimal(18,9)) as lat7 from pings""",
 )
 
 _UPLOAD = "upload_time // 1000"
@@ -171,7 +244,7 @@ for _name, _bounds in {
 }.items():
     _add(
         f"interval_{_name}",
-        """select order_id, driver_id, event_id, ping_time, acc_digit, speed_digit, lat_digit, lon_digit,
+        """select order_id, driver_id, device_id, ping_time, acc_digit, speed_digit, lat_digit, lon_digit,
         cast(round_accuracy as bigint) as round_accuracy, order_date as grass_date from seen""",
         seen=_phase(*_bounds),
     )
@@ -179,17 +252,17 @@ for _name, _bounds in {
 
 def _phased(pad: str, orders: str = "trips", extra: str = "") -> str:
     lo, hi = f"o.delivery_assign_time - interval {pad}", f"o.delivery_delivered_time + interval {pad}"
-    return f"""select distinct {_ORDER}{extra}, p.event_id, p.ping_time, p.latitude, p.longitude, p.speed_kmh, p.accuracy,
-      p.head, case when p.ping_time between {lo} and o.delivery_pickup_time then 'early'
+    return f"""select distinct {_ORDER}{extra}, p.ping_time, p.latitude, p.longitude, p.speed_kmh, p.accuracy, p.head,
+      case when p.ping_time between {lo} and o.delivery_pickup_time then 'early'
         when p.ping_time between o.delivery_pickup_time and o.delivery_delivered_time then 'middle'
         when p.ping_time between o.delivery_delivered_time and {hi} then 'end' end as period
       from {orders} o left join pings p on o.driver_id = p.driver_id and p.ping_time between {lo} and {hi}"""
 
 
-_add("interval_left_full", "select order_id, event_id, ping_time from phased", phased=_phased("5 minutes"))
+_add("interval_left_full", "select order_id, ping_time, accuracy, head from phased", phased=_phased("5 minutes"))
 _add(
     "trip_phase",
-    "select order_id, period, count(event_id) as n from phased group by 1, 2",
+    "select order_id, period, count(ping_time) as n from phased group by 1, 2",
     phased=_phased("6 hours"),
 )
 _add(
@@ -207,7 +280,7 @@ for _name, _kind in {"asof_accept_point": "join", "asof_accept_point_or_logged":
           coalesce(p.latitude, o.accept_latitude) as accept_latitude,
           coalesce(p.longitude, o.accept_longitude) as accept_longitude,
           row_number() over (partition by o.order_id
-            order by p.ping_time desc, p.upload_time desc, p.event_id desc) as rk
+            order by p.ping_time desc, p.upload_time desc, p.latitude desc, p.longitude desc) as rk
           from trips o {_kind} pings p on o.driver_id = p.driver_id
             and p.ping_time > o.delivery_assign_time - interval 24 hours and p.ping_time <= o.delivery_assign_time""",
     )
@@ -217,7 +290,7 @@ _KM = """2 * 6371.01 * asin(least(1.0, sqrt(pow(sin(radians(next_lat - lat) / 2)
 
 
 def _with_next(source: str) -> str:
-    w = "over (partition by order_id order by ping_time, upload_time, event_id)"
+    w = "over (partition by order_id order by ping_time, upload_time, latitude, longitude, speed_kmh, head, accuracy, device_id)"
     return f"""select *, cast(latitude as double) as lat, cast(longitude as double) as lon,
       lead(accuracy) {w} as next_accuracy, lead(ping_time) {w} as next_time,
       cast(lead(latitude) {w} as double) as next_lat, cast(lead(longitude) {w} as double) as next_lon from {source}"""
@@ -225,7 +298,7 @@ def _with_next(source: str) -> str:
 
 _add(
     "haversine_lead",
-    f"""select order_id, event_id, next_time, next_accuracy, round({_KM}, 6) as km from led
+    f"""select order_id, device_id, next_time, next_accuracy, round({_KM}, 6) as km from led
     where date_sub('second', ping_time, next_time) <= 3600 and {_KM} > 0""",
     before=_phase(*_BEFORE),
     led=_with_next("before"),
@@ -238,28 +311,26 @@ _GROUP = "order_date, order_id, driver_id, service_type"
 
 def _hit_by_order(code: str) -> str:
     """(order, hit) of a rule over ``before`` and ``middle``."""
-    rule = RULES[code]
     if code == "006":
         return f"""select {_GROUP}, count(case when {_KM} > 1 and next_accuracy < 20
             and date_sub('second', ping_time, next_time) <= 3600 then 1 end) >= 1 as hit
           from ({_with_next('before')}) group by all"""
     if code == "008":
-        counts = [f"count(case when speed_kmh in ({', '.join(map(str, s))}) then 1 end) >= 3" for s in rule.speeds]
+        counts = [f"count(case when speed_kmh in ({speeds}) then 1 end) >= 3" for speeds in SPEED_GROUPS]
         return f"""select {_GROUP}, {' or '.join(counts)} as hit from (select distinct {_GROUP}, create_time, latitude,
             longitude, speed_kmh, accuracy, head, upload_time, ping_time from before) group by all"""
-    assert isinstance(rule, RunRule)
-    columns = ", ".join(rule.row)
-    net = f"left join (select distinct order_id as pardoned from middle where {rule.net}) n on l.order_id = n.pardoned"
-    return f"""select {_GROUP}, count(case when c5 - c = 5 {'and pardoned is null' if rule.net else ''} then 1 end) >= 1
+    row, match, net = RUNS[code]
+    pardons = f"left join (select distinct order_id as pardoned from middle where {net}) n on l.order_id = n.pardoned"
+    return f"""select {_GROUP}, count(case when c5 - c = 5 {'and pardoned is null' if net else ''} then 1 end) >= 1
         as hit
       from (select *, lead(c, 5) over (partition by order_id order by ping_time, upload_time) as c5
-        from (select distinct {_GROUP}, create_time, {columns}, count(case when {rule.match} then order_id end)
+        from (select distinct {_GROUP}, create_time, {row}, count(case when {match} then order_id end)
           over (partition by order_id order by ping_time, upload_time) as c from before)) l
-      {net if rule.net else ''} group by all"""
+      {pardons if net else ''} group by all"""
 
 
 def _flagged(code: str) -> str:
-    return f"""select h.*, '{code}' as code, d.cnt, case when d.cnt >= {RULES[code].flag_at} then 1 else 0 end as flagged
+    return f"""select h.*, '{code}' as code, d.cnt, case when d.cnt >= {FLAG_AT.get(code, 1)} then 1 else 0 end as flagged
       from ({_hit_by_order(code)}) h left join (
         select order_date, driver_id, count(distinct case when hit then order_id end) as cnt
         from ({_hit_by_order(code)}) group by all) d on h.order_date = d.order_date and h.driver_id = d.driver_id
@@ -268,7 +339,7 @@ def _flagged(code: str) -> str:
 
 _SEEN = {"before": _phase(*_BEFORE), "middle": _phase(*_MIDDLE)}
 
-for _code in RULES:
+for _code in CODES:
     _add(
         f"rule_{_code}",
         f"""select distinct {_GROUP}, hit as is_{_code}, cnt as cnt_{_code}, flagged as dsys{_code},
@@ -276,7 +347,7 @@ for _code in RULES:
         **_SEEN,
     )
 
-_ALL = " union all ".join(f"select {_GROUP}, code, cnt, flagged from ({_flagged(c)})" for c in RULES)
+_ALL = " union all ".join(f"select {_GROUP}, code, cnt, flagged from ({_flagged(c)})" for c in CODES)
 _add("all_rules", _ALL, **_SEEN)
 _add(
     "rules_per_query",
@@ -380,17 +451,21 @@ _add(
 
 # ---------------------------------------------------------------- reports
 
-_CALENDAR = """select distinct cast(ts as date) as report_date, isoyear(ts) * 100 + week(ts) as year_week,
-  cast(date_trunc('week', ts) as date) as first_day_of_week, cast(date_trunc('week', ts) as date) + 6 as last_day_of_week,
-  year(ts) * 100 + month(ts) as year_month, cast(date_trunc('month', ts) as date) as first_day_of_month,
-  last_day(cast(ts as date)) as last_day_of_month, day(last_day(cast(ts as date))) as num_day_in_month from ev"""
-_add(
-    "calendar",
-    """select report_date, cast(year_week as int) as year_week, first_day_of_week, last_day_of_week,
+def _calendar(source: str) -> str:
+    return f"""select cast(d as date) as report_date, isoyear(d) * 100 + week(d) as year_week,
+      cast(date_trunc('week', d) as date) as first_day_of_week, cast(date_trunc('week', d) as date) + 6 as last_day_of_week,
+      year(d) * 100 + month(d) as year_month, cast(date_trunc('month', d) as date) as first_day_of_month,
+      last_day(cast(d as date)) as last_day_of_month, day(last_day(cast(d as date))) as num_day_in_month
+    from (select unnest(generate_series(min(cast(ts as date)), max(cast(ts as date)), interval 1 day)) as d
+      from {source}) days"""
+
+
+_CALENDAR = _calendar("ev")
+_DAYS = """select report_date, cast(year_week as int) as year_week, first_day_of_week, last_day_of_week,
     cast(year_month as int) as year_month, first_day_of_month, last_day_of_month,
-    cast(num_day_in_month as int) as num_day_in_month from cal""",
-    cal=_CALENDAR,
-)
+    cast(num_day_in_month as int) as num_day_in_month from cal"""
+_add("calendar", _DAYS, cal=_CALENDAR)
+_add("calendar_with_gaps", _DAYS, few="select * from ev where event_id % 500 = 7", cal=_calendar("few"))
 _KNOWN = "where report_date between date '2024-01-01' and date '2024-01-24'"
 _LAST = "date '2024-01-24'"
 _PERIODS = f"""select distinct '1. Daily' as period_grp, cast(report_date as varchar) as period, report_date as start_date,
@@ -439,6 +514,13 @@ for _name, _like, _number, _alias in (
           where behavior <> '' and behavior like '{_like}' group by 1""",
     )
 
+_add(
+    "driver_average_of_days",
+    "select cast(month(order_date) as int) as month, avg(cnt) as avg_driver from per_day group by 1",
+    per_day="""select order_date, count(distinct driver_id) as cnt from tagged where behavior like 'Rules_%'
+      and order_date between date '2024-01-03' and date '2024-01-17' group by 1""",
+)
+
 _KINDS = " ".join(f"when '{c}' then '{kind}'" for c, kind in FRAUD_KINDS.items())
 _CASES = f"""select order_created_date as submit_date, case fraud_code {_KINDS} else 'Others' end as fraud_mo,
   case source when 'food' then 'Delivered Orders' end as source, fraud_code, driver_id as cheater,
@@ -463,7 +545,7 @@ _add(
 _PICK = "(order_id * 7919) % 10007, order_id"
 _add(
     "sample_hits",
-    """select a.order_id, a.behavior, period, event_id, ping_time from phased a join chosen c
+    """select a.order_id, a.behavior, period, ping_time, accuracy, head from phased a join chosen c
     on a.order_id = c.order_id and a.behavior = c.behavior""",
     proxied="select * from tagged where behavior like 'Proxy_%'",
     phased=_phased("6 hours", "proxied", ", o.behavior"),
@@ -476,7 +558,7 @@ _CLEAN = """select * from few where behavior = ''
   and driver_id not in (select distinct driver_id from few where behavior <> '')"""
 _add(
     "sample_controls",
-    """select a.order_id, a.behavior, period, event_id, ping_time from phased a join chosen c
+    """select a.order_id, a.behavior, period, ping_time, accuracy, head from phased a join chosen c
     on a.order_id = c.order_id""",
     few=_FEW,
     clean=_CLEAN,
@@ -487,29 +569,62 @@ _add(
 _add("anti_join_not_in", "select order_id, driver_id from clean", few=_FEW, clean=_CLEAN)
 
 _SHOWN = "order_date, order_id, driver_id, period, ping_time, accuracy"
-_W = "over (partition by order_id order by ping_time, event_id)"
 _FLAG = """select distinct {shown}, is_sop, 1 as is_conti from (
     select *, lead(is_sop) {w} as after, lag(is_sop) {w} as before_it
-    from (select *, case when {when} then 1 else 0 end as is_sop from phased))
+    from (select {shown}, case when {when} then 1 else 0 end as is_sop from phased where ping_time is not null))
   where is_sop = 1 and (after = 1 or before_it = 1)"""
 _SAME = """select distinct {shown}, 1 as is_conti from (
-    select *, {after} as same_after, {before} as same_before from (select * from phased where {where}))
+    select *, {after} as same_after, {before} as same_before
+    from (select {distinct} {shown} from phased where {where} and ping_time is not null))
   where same_after or same_before"""
 
+#: Flag checks: the condition. Same-place checks: equal columns, which pings, shown columns, whether they are distinct.
+FLAG_CHECKS = {
+    "s2": "accuracy <= 1 and period in ('early', 'end')",
+    "s3a": "accuracy <= 5 and period in ('early', 'end')",
+    "s3b": "accuracy > 5 and period = 'middle'",
+    "s3a_wide": "accuracy <= 7.5 and period in ('early', 'end')",
+    "s3b_wide": "accuracy > 7 and period = 'middle'",
+}
+SAME_CHECKS = {
+    "s4": ("speed_kmh", "accuracy <= 5 and period = 'early'", "speed_kmh", ""),
+    "s5": ("latitude, longitude", "accuracy <= 5 and period = 'early'", "latitude, longitude", ""),
+    "s6": ("latitude, longitude", "true", "latitude, longitude", ""),
+    "s7": (
+        "speed_kmh",
+        "speed_kmh in (0.36, 0.72, 3.6, 7.2, 10.8) and period in ('early', 'end')",
+        "latitude, longitude, speed_kmh",
+        "distinct",
+    ),
+    "s8": (
+        "latitude, longitude",
+        "speed_kmh in (0.36, 3.6) and accuracy < 5 and period in ('early', 'end')",
+        "latitude, longitude, speed_kmh",
+        "distinct",
+    ),
+    "s8_original": (
+        "latitude, longitude",
+        "speed_kmh in (0.36, 3.6) and accuracy = 5 and head = 4 and period in ('early', 'end')",
+        "latitude, longitude, speed_kmh",
+        "distinct",
+    ),
+}
+
 
 def _check(name: str) -> str:
-    check = CHECKS[name]
-    shown = ", ".join([_SHOWN, *check.show])
-    if hasattr(check, "when"):
-        return _FLAG.format(shown=shown, w=_W, when=check.when)
+    if name in FLAG_CHECKS:
+        w = "over (partition by order_id order by ping_time, order_date, driver_id, period, accuracy, is_sop)"
+        return _FLAG.format(shown=_SHOWN, w=w, when=FLAG_CHECKS[name])
+    same, where, show, distinct = SAME_CHECKS[name]
+    w = f"over (partition by order_id order by ping_time, order_date, driver_id, period, accuracy, {show})"
     sides = {
-        side: " and ".join(f"{c} = {function}({c}) {_W}" for c in check.same)
+        side: " and ".join(f"{c} = {function}({c}) {w}" for c in same.split(", "))
         for side, function in (("after", "lead"), ("before", "lag"))
     }
-    return _SAME.format(shown=shown, where=check.where, **sides)
+    return _SAME.format(shown=f"{_SHOWN}, {show}", where=where, distinct=distinct, **sides)
 
 
-for _name in REVIEW_CHECKS:
+for _name in ("s2", "s3a", "s3b", *[c for c in SAME_CHECKS if c != "s8_original"]):
     _add(f"check_{_name}", _check(_name), phased=_phased("6 hours"))
 _add(
     "check_s3",
@@ -520,7 +635,7 @@ _add(
 )
 _add(
     "semi_join_check",
-    "select order_id, event_id, period from phased where order_id in (select order_id from hit)",
+    "select order_id, ping_time, accuracy, period from phased where order_id in (select order_id from hit)",
     phased=_phased("6 hours"),
     hit=_check("s2"),
 )
@@ -550,7 +665,7 @@ def _scalar(path: str) -> str:
 _add(
     "device_attribution",
     """select order_id, delivery_id, buyer_id, store_id, driver_id, device, platform, tags, is_high_risk_tag,
-    cast(create_time as date) as grass_date, strftime(create_time, '%Y-%m') as grass_month
+    cast(null as varchar) as account_df, cast(null as varchar) as vendor_df, cast(create_time as date) as grass_date, strftime(create_time, '%Y-%m') as grass_month
     from ranked where rk = 1 and device is not null""",
     bought="""select o.*, a.account_id from buyer_orders o left join accounts a on o.buyer_id = a.uid and a.status = 1
       where delivery_status in (7, 9)""",
@@ -573,3 +688,36 @@ _add(
         row_number() over (partition by buyer_id, create_time order by device_time desc nulls last, order_id desc,
           login_time desc nulls last) as rk from merged""",
 )
+
+_add(
+    "risk_event_scan",
+    """select user_id, event_id, 'ID' as grass_region, grass_date, platform from login_events
+    where event_id = 151 and user_id % 3 = 0 and grass_date between date '2024-01-05' and date '2024-01-12'""",
+)
+
+# ---------------------------------------------------------------- accept points of the other region
+
+_PAIRED = """select o.*, store_latitude, store_longitude, accept_latitude, accept_longitude
+  from facts o left join latest_pairs p on o.order_id = p.order_id and o.driver_id = p.driver_id"""
+
+# Orders and pairs as in order_facts_union and accept_pairs.
+_FACTS = ORACLES["order_facts_union"]
+_PAIRS = ORACLES["accept_pairs"]
+
+
+def _add_paired(name: str, body: str) -> None:
+    ORACLES[name] = f"with facts as ({_FACTS}), latest_pairs as ({_PAIRS}), paired as ({_PAIRED}) {body}"
+
+
+_add_paired(
+    "id_rule_001",
+    f"""select distinct {_GROUP}, true as is_001, count(*) over (partition by order_date, driver_id) as cnt_001,
+      1 as dsys001, order_date as grass_date
+    from (select distinct {_GROUP} from paired where {' and '.join(f'{_digits(_seven(x))} = 7' for x in
+      ('accept_latitude', 'accept_longitude', 'store_latitude', 'store_longitude'))}
+      and accept_latitude = store_latitude and accept_longitude = store_longitude)""",
+)
+ORACLES["id_rule_app"] = f"""with orders_of as ({_FACTS}), suspects as (
+    with ev as ({_BASE['ev']}), risk_events as ({VIEWS['risk_events']}), parsed as ({_PARSED}) {_SUSPECT})
+  select distinct {_GROUP}, 1 as is_proxy_autoblock, order_date as grass_date from orders_of o
+  join (select distinct cast(user_id as varchar) as driver from suspects) s on o.driver_id = s.driver"""

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pathproof.functions import fraction_digits, round7
 from pathproof.operators import DAY, latest_by
 from pathproof.plans import devices, features, reports, review, rules, tags
+from pathproof.sources import readers
 from pathproof.testbed.frames import view
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,13 +57,13 @@ def _add(name: str, *names: str):
 
 @_add("fraction_digits", "pings")
 def _(pings):
-    doubles = pings.withColumn("v", F.col("latitude").cast("double"))
-    return doubles.select(
-        "event_id",
+    return pings.select(
+        "device_id",
         fraction_digits("accuracy").alias("acc_digit"),
         fraction_digits("speed_kmh").alias("speed_digit"),
-        fraction_digits("v").alias("lat_digit"),
-        round7("latitude").cast("decimal(18,9)").alias("lat7"),
+        fraction_digits("latitude").alias("lat_digit"),
+        fraction_digits(F.col("latitude") / 1000000).alias("small_digit"),
+        round7(F.col("latitude").cast("decimal(18,9)")).cast("decimal(18,9)").alias("lat7"),
     )
 
 
@@ -124,7 +125,7 @@ def _(events):
 def _interval(phase: str, pad: str):
     def run(orders, pings):
         return features.order_pings(orders, pings, phase, pad, DAY).select(
-            "order_id", "driver_id", "event_id", "ping_time", "acc_digit", "speed_digit", "lat_digit",
+            "order_id", "driver_id", "device_id", "ping_time", "acc_digit", "speed_digit", "lat_digit",
             "lon_digit", F.col("round_accuracy").cast("bigint").alias("round_accuracy"), "grass_date",
         )
 
@@ -138,7 +139,7 @@ _add("interval_after", "trips", "pings")(_interval("after", "6 hours"))
 
 @_add("interval_left_full", "trips", "pings")
 def _(orders, pings):
-    return review.phase_pings(orders, pings, "5 minutes", DAY).select("order_id", "event_id", "ping_time")
+    return review.phase_pings(orders, pings, "5 minutes", DAY).select("order_id", "ping_time", "accuracy", "head")
 
 
 @_add("trip_phase", "trips", "pings")
@@ -146,7 +147,7 @@ def _(orders, pings):
     return (
         review.phase_pings(orders, pings, "6 hours", DAY)
         .groupBy("order_id", "period")
-        .agg(F.count("event_id").alias("n"))
+        .agg(F.count("ping_time").alias("n"))
     )
 
 
@@ -173,7 +174,7 @@ def _(orders, pings):
     seen = features.order_pings(orders, pings, "before", width_s=DAY)
     every = replace(NEAR_JUMP, km=0.0, accuracy_below=1000)
     return rules.jumps(seen, "order_id", every, width_s=DAY).select(
-        "order_id", "event_id", "next_time", "next_accuracy", F.round("distance_km", 6).alias("km")
+        "order_id", "device_id", "next_time", "next_accuracy", F.round("distance_km", 6).alias("km")
     )
 
 
@@ -296,6 +297,16 @@ def _(tagged):
     return reports.average_drivers(tagged, reports.PROXY_PATTERN, "week", "week")
 
 
+@_add("driver_average_of_days", "tagged")
+def _(tagged):
+    return reports.average_drivers(tagged, lo=date(2024, 1, 3), hi=date(2024, 1, 17))
+
+
+@_add("calendar_with_gaps", "ev")
+def _(events):
+    return reports.calendar(events.where("event_id % 500 = 7"), "ts")
+
+
 @_add("bad_debt_cases", "bad_debt")
 def _(cases):
     counted = reports.bad_debt_cases(cases).groupBy("fraud_code", "fraud_mo", "source")
@@ -315,7 +326,7 @@ def _shuffled():
     return [(F.col("order_id") * 7919) % 10007, F.col("order_id")]
 
 
-_SAMPLE = ["order_id", "behavior", "period", "event_id", "ping_time"]
+_SAMPLE = ["order_id", "behavior", "period", "ping_time", "accuracy", "head"]
 
 
 @_add("sample_hits", "tagged", "pings")
@@ -381,7 +392,7 @@ def _(orders, pings):
 def _(orders, pings):
     sample = _phased(orders, pings)
     hit = review.restrict_to_hits(sample, review.review_check(sample, CHECKS["s2"], DAY))
-    return hit.select("order_id", "event_id", "period")
+    return hit.select("order_id", "ping_time", "accuracy", "period")
 
 
 @_add("review_rates", "reviewed_orders", "reviews")
@@ -403,5 +414,31 @@ def _(orders, accounts, events, risk):
     logins = devices.login_devices(events, bought)
     return devices.attribute_devices(bought, risk, logins, width_s=DAY).select(
         "order_id", "delivery_id", "buyer_id", "store_id", "driver_id", "device", "platform", "tags",
-        "is_high_risk_tag", "grass_date", "grass_month",
+        "is_high_risk_tag", "account_df", "vendor_df", "grass_date", "grass_month",
     )
+
+
+@_add("risk_event_scan", "login_events")
+def _(events):
+    regions = events.withColumn("grass_region", F.when(F.col("user_id") % 3 == 0, "ID").otherwise("VN"))
+    some = readers.risk_events(regions, (151,), "ID", date(2024, 1, 5), date(2024, 1, 12))
+    return some.select("user_id", "event_id", "grass_region", "grass_date", "platform")
+
+
+# ---------------------------------------------------------------- accept points of the other region
+
+
+def _paired(food, parcels, pairs):
+    orders = features.order_facts_versioned(food, parcels, PARCEL_SERVICES)
+    return features.with_accept_pairs(orders, features.accept_pairs(pairs))
+
+
+@_add("id_rule_001", "food_versions", "parcels", "pair_log")
+def _(food, parcels, pairs):
+    return rules.accept_at_store(_paired(food, parcels, pairs))
+
+
+@_add("id_rule_app", "food_versions", "parcels", "risk_events")
+def _(food, parcels, events):
+    orders = features.order_facts_versioned(food, parcels, PARCEL_SERVICES)
+    return tags.tampered_app_orders(orders, events, {"user_id": "driver_id"})

@@ -18,7 +18,7 @@ def duck(sf_dir: str):
 
     con = duckdb.connect()
     for t in TABLES:
-        con.sql(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
+        con.execute(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
     return con
 
 
@@ -52,7 +52,7 @@ def main(sf_dir: str, names: list[str]) -> None:
     spark, con = make_session(), duck(sf_dir)
     sqls = entry.oracle_sql()
     for name, query in entry.queries().items():
-        if names and name not in names:
+        if name not in sqls or (names and name not in names):
             continue
         start = time.time()
         try:

@@ -35,6 +35,31 @@ def test_an_order_without_pings_stays_without_a_phase(spark):
     assert {(r.order_id, r.period) for r in review.phase_pings(orders, pings).collect()} == {(1, "early"), (2, None)}
 
 
+def test_one_order_of_two_drivers_with_equal_times(spark):
+    """Each driver's row keeps its own pings, and stays if it has none."""
+    both = [order(1, driver=1), order(1, driver=2)]
+    orders, pings = frames(spark, both, [ping(5, driver=1), ping(7, driver=2)])
+    got = {(r.driver_id, int((r.ping_time - T0).total_seconds())) for r in review.phase_pings(orders, pings).collect()}
+    assert got == {(1, 5), (2, 7)}
+    orders, pings = frames(spark, both, [ping(5, driver=1)])
+    assert {(r.driver_id, r.period) for r in review.phase_pings(orders, pings).collect()} == {(1, "early"), (2, None)}
+
+
+def test_copies_of_a_ping_hit_no_same_place_check(spark):
+    orders, pings = frames(spark, [order(1)], [ping(5, speed=0.36), ping(5, speed=0.36, device="e"), ping(9, speed=0.72)])
+    sample = review.phase_pings(orders, pings)
+    assert review.review_check(sample, review.CHECKS["s7"]).count() == 0
+    again = frames(spark, [order(1)], [ping(5, speed=0.36), ping(9, speed=0.36)])
+    assert review.review_check(review.phase_pings(*again), review.CHECKS["s7"]).count() == 2
+
+
+def test_a_rule_without_a_behavior_tags_by_its_code(spark):
+    orders = spark.createDataFrame([order(1), order(2)], ORDER)
+    hits = spark.createDataFrame([(1, "999"), (1, "115")], "order_id long, code string")
+    got = {(r.order_id, r.behavior) for r in tags.tag_orders(orders, hits).collect()}
+    assert got == {(1, "Rules_999"), (1, tags.BEHAVIORS["115"]), (2, "")}
+
+
 @pytest.mark.parametrize("delivered", [1200, 600, 500, -250, -400])
 def test_complete_orders_equal_the_phase_labels(spark, delivered):
     stops = [-700, -550, -450, -400, -300, -250, -100, 300, 500, 550, 600, 601, 700, 900, 1200, 1300]
@@ -141,10 +166,10 @@ def test_declared_inputs_are_read_without_inference(spark, tmp_path):
 
 
 def test_order_tags_are_long_and_empty_when_clean(spark):
-    orders = spark.createDataFrame([(1,), (2,)], "order_id long")
+    orders = spark.createDataFrame([(1,), (2,), (3,)], "order_id long")
     hits = spark.createDataFrame([(1, "016"), (1, "017"), (1, "001"), (2, "unknown")], "order_id long, code string")
     got = {(r.order_id, r.behavior) for r in tags.tag_orders(orders, hits).collect()}
-    assert got == {(1, tags.SAME_ACCURACY), (1, tags.BEHAVIORS["001"]), (2, "")}
+    assert got == {(1, tags.SAME_ACCURACY), (1, tags.BEHAVIORS["001"]), (2, "Rules_unknown"), (3, "")}
 
 
 def test_running_periods_end_yesterday(spark):

@@ -43,11 +43,9 @@ def test_interval_join(spark, world, width):
     args = (frame(spark, spans, SPAN), frame(spark, points, POINT), "key", "t", "lo", "hi")
     inner = interval_join(*args, width_s=width)
     assert sorted((r.sid, r.pid) for r in inner.collect()) == sorted(pairs)
-    left = interval_join(*args, how="left", row_key=["sid"], width_s=width)
+    left = interval_join(*args, how="left", width_s=width)
     alone = {(s[3], None) for s in spans} - {(s, None) for s, _ in pairs}
     assert {(r.sid, r.pid) for r in left.collect()} == pairs | alone
-    few = interval_join(*args, how="left", row_key=["sid"], width_s=width, few_spans=True)
-    assert {(r.sid, r.pid) for r in few.collect()} == pairs | alone
 
 
 def test_interval_join_cuts_broken_starts(spark):

@@ -5,11 +5,11 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from pathproof.testbed.oracle import ORACLES as SQLS
+from pathproof.testbed.queries import QUERIES
 from tests.compare import compare, duck
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-SQLS = entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +19,16 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQLS)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQLS) <= set(entry.oracle_sql())
+
+
+def test_the_oracle_takes_nothing_from_the_plans():
+    import inspect
+
+    from pathproof.testbed import oracle
+
+    names = re.findall(r"^from (\S+) import", inspect.getsource(oracle), re.M)
+    assert names == ["__future__", "pathproof.testbed.frames"]
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
