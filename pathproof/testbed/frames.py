@@ -44,6 +44,29 @@ VIEWS = {
           cast(10.1234567 + (user_id % 10) * 0.01 + {_STORE} as decimal(18,7)) as store_latitude,
           cast(106.1234567 + (user_id % 10) * 0.01 + {_STORE} as decimal(18,7)) as store_longitude
         from ev where event_type = 'purchase'""",
+    # Bursts of pings five seconds apart, with a copy by another device, and orders that end within a burst.
+    "dense_pings": f"""
+        select case when copied = 1 then 'x' else 'd' end || cast(event_id % 3 as string) as device_id,
+          user_id as driver_id, seen_at as ping_time, seen_at as upload_time, cast(seen_at as date) as ping_date,
+          cast(cast(10 + (user_id % 50) * 0.01 + {_JITTER}
+            + case when event_id % 8 = 0 and n >= 3 then 0.02 else 0 end as decimal(18,9)) as double) as latitude,
+          cast(cast(106 + (user_id % 30) * 0.01 + {_JITTER} as decimal(18,9)) as double) as longitude,
+          case event_id % 20 when 0 then 1.1e0 * 3600 / 1000 when 4 then 0.36e0 when 8 then 3.6e0
+            when 12 then 8.2e0 * 3600 / 1000 else 10.0e0 + n end as speed_kmh,
+          case when event_id % 20 in (4, 8) then 5.0e0
+               when event_id % 12 = 0 and n in (3, 4) then 7.5e0
+               when event_id % 16 = 4 then 1.25e0
+               when event_id % 16 = 8 then cast(cast(event_id % 5 + 0.12345 as decimal(18,5)) as double)
+               else cast(cast(event_id % 9 * 0.5 as decimal(18,5)) as double) end as accuracy,
+          cast(4 + event_id % 3 as int) as head
+        from burst_ev where event_type <> 'purchase'""",
+    "dense_trips": """
+        select event_id as order_id, user_id as driver_id, ts as create_time, cast(ts as date) as order_date,
+          ts - interval 1 minutes as delivery_assign_time,
+          ts + case when event_id % 8 = 4 then interval 10 seconds else interval 30 seconds end as delivery_pickup_time,
+          ts + case when event_id % 8 = 4 then interval 20 seconds else interval 31 seconds end
+            as delivery_delivered_time, 'food' as service_type
+        from ev where event_type <> 'purchase' and event_id % 4 = 0""",
     "raw_pings": """
         select user_id + 100000 as driver_id, event_id,
           cast(10 + (user_id % 50) * 0.01 + (event_id % 7) * 0.0123456 as decimal(18,9)) as latitude,
@@ -173,7 +196,17 @@ def _li(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_BASE = {"ev": _ev, "li": _li}
+def _burst_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events nine times: at 0, 5 ... 35 seconds, and once more at 10 seconds."""
+    each = _ev(spark, sf_dir).withColumn("m", F.explode(F.sequence(F.lit(0), F.lit(8))))
+    copied, zero = F.col("m") == 8, F.lit(0)
+    n = F.when(copied, 2).otherwise(F.col("m"))
+    return each.withColumns(
+        {"copied": copied.cast("int"), "n": n, "seen_at": F.col("ts") + F.make_dt_interval(zero, zero, zero, n * 5)}
+    ).drop("m")
+
+
+_BASE = {"ev": _ev, "li": _li, "burst_ev": _burst_ev}
 _TABLES = ("customer", "nation", "lineitem", "orders", "documents", "labels")
 
 

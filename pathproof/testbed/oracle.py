@@ -88,6 +88,9 @@ ORACLES: dict[str, str] = {}
 _BASE = {
     "ev": """select event_id, ts, user_id, event_type, cast(json_extract_string(props, '$.k') as int) as k,
       cast(epoch(date_trunc('second', ts)) as bigint) as sec from events""",
+    "burst_ev": """select * exclude (m), case when m = 8 then 1 else 0 end as copied,
+        case when m = 8 then 2 else m end as n, ts + to_seconds(5 * case when m = 8 then 2 else m end) as seen_at
+      from (select event_id, ts, user_id, event_type, unnest(range(9)) as m from events)""",
     "li": """select *, cast(date_diff('day', date '1970-01-01', cast(l_shipdate as date)) as bigint) as ship_day
       from lineitem""",
 }
@@ -121,10 +124,10 @@ _ORDER = """o.order_id, o.driver_id, o.create_time, o.order_date, o.delivery_ass
   o.delivery_delivered_time, o.service_type"""
 
 
-def _phase(lo: str, hi: str, orders: str = "trips") -> str:
+def _phase(lo: str, hi: str, orders: str = "trips", pings: str = "pings") -> str:
     return f"""select distinct {_ORDER}, p.device_id, p.ping_time, p.upload_time, p.latitude, p.longitude,
       p.speed_kmh, p.head, p.accuracy, {_MEASURED}
-      from {orders} o join pings p on o.driver_id = p.driver_id and p.ping_time between {lo} and {hi}"""
+      from {orders} o join {pings} p on o.driver_id = p.driver_id and p.ping_time between {lo} and {hi}"""
 
 
 _BEFORE = ("o.delivery_assign_time - interval 5 minutes", "o.delivery_pickup_time")
@@ -250,13 +253,13 @@ for _name, _bounds in {
     )
 
 
-def _phased(pad: str, orders: str = "trips", extra: str = "") -> str:
+def _phased(pad: str, orders: str = "trips", extra: str = "", pings: str = "pings") -> str:
     lo, hi = f"o.delivery_assign_time - interval {pad}", f"o.delivery_delivered_time + interval {pad}"
     return f"""select distinct {_ORDER}{extra}, p.ping_time, p.latitude, p.longitude, p.speed_kmh, p.accuracy, p.head,
       case when p.ping_time between {lo} and o.delivery_pickup_time then 'early'
         when p.ping_time between o.delivery_pickup_time and o.delivery_delivered_time then 'middle'
         when p.ping_time between o.delivery_delivered_time and {hi} then 'end' end as period
-      from {orders} o left join pings p on o.driver_id = p.driver_id and p.ping_time between {lo} and {hi}"""
+      from {orders} o left join {pings} p on o.driver_id = p.driver_id and p.ping_time between {lo} and {hi}"""
 
 
 _add("interval_left_full", "select order_id, ping_time, accuracy, head from phased", phased=_phased("5 minutes"))
@@ -309,11 +312,11 @@ _add(
 _GROUP = "order_date, order_id, driver_id, service_type"
 
 
-def _hit_by_order(code: str) -> str:
-    """(order, hit) of a rule over ``before`` and ``middle``."""
+def _hit_by_order(code: str, gap: str = "<= 3600") -> str:
+    """(order, hit) of a rule over ``before`` and ``middle``; the jump rule's own gap is exactly 5 seconds."""
     if code == "006":
         return f"""select {_GROUP}, count(case when {_KM} > 1 and next_accuracy < 20
-            and date_sub('second', ping_time, next_time) <= 3600 then 1 end) >= 1 as hit
+            and date_sub('second', ping_time, next_time) {gap} then 1 end) >= 1 as hit
           from ({_with_next('before')}) group by all"""
     if code == "008":
         counts = [f"count(case when speed_kmh in ({speeds}) then 1 end) >= 3" for speeds in SPEED_GROUPS]
@@ -329,11 +332,11 @@ def _hit_by_order(code: str) -> str:
       {pardons if net else ''} group by all"""
 
 
-def _flagged(code: str) -> str:
+def _flagged(code: str, gap: str = "<= 3600") -> str:
     return f"""select h.*, '{code}' as code, d.cnt, case when d.cnt >= {FLAG_AT.get(code, 1)} then 1 else 0 end as flagged
-      from ({_hit_by_order(code)}) h left join (
+      from ({_hit_by_order(code, gap)}) h left join (
         select order_date, driver_id, count(distinct case when hit then order_id end) as cnt
-        from ({_hit_by_order(code)}) group by all) d on h.order_date = d.order_date and h.driver_id = d.driver_id
+        from ({_hit_by_order(code, gap)}) group by all) d on h.order_date = d.order_date and h.driver_id = d.driver_id
       where hit and d.cnt >= 1"""
 
 
@@ -396,6 +399,26 @@ _add(
     repeated_point=_REPEATED_POINT,
 )
 
+_DENSE = {
+    "before": _phase(*_BEFORE, "dense_trips", "dense_pings"),
+    "middle": _phase(*_MIDDLE, "dense_trips", "dense_pings"),
+}
+_add(
+    "dense_all_rules",
+    " union all ".join(f"select {_GROUP}, code, cnt, flagged from ({_flagged(c, '= 5')})" for c in CODES),
+    **_DENSE,
+)
+_add(
+    "dense_rule_006",
+    f"""select distinct {_GROUP}, hit as is_006, cnt as cnt_006, flagged as dsys006, order_date as grass_date
+    from ({_flagged('006', '= 5')})""",
+    **_DENSE,
+)
+_DENSE_PHASED = _phased("5 minutes", "dense_trips", pings="dense_pings")
+_add(
+    "dense_phases", "select order_id, period, count(ping_time) as n from phased group by 1, 2", phased=_DENSE_PHASED
+)
+
 # ---------------------------------------------------------------- tags
 
 _PARSED = """select *, case when json_type(entities, '$.DFPInfoSZ.tags') = 'ARRAY'
@@ -626,6 +649,15 @@ def _check(name: str) -> str:
 
 for _name in ("s2", "s3a", "s3b", *[c for c in SAME_CHECKS if c != "s8_original"]):
     _add(f"check_{_name}", _check(_name), phased=_phased("6 hours"))
+for _name, _rows in {"dense_check_s7": "s7", "dense_check_s8": "s8_original"}.items():
+    _add(_name, _check(_rows), phased=_DENSE_PHASED)
+_add(
+    "dense_check_s3",
+    "select distinct a.order_id from first_half a join second_half b on a.order_id = b.order_id",
+    phased=_DENSE_PHASED,
+    first_half=_check("s3a"),
+    second_half=_check("s3b"),
+)
 _add(
     "check_s3",
     "select distinct a.order_id from first_half a join second_half b on a.order_id = b.order_id",

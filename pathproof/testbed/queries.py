@@ -228,6 +228,42 @@ def _(orders, pings):
     return rules.run_rules(orders.unionByName(again), pings, some, width_s=DAY)
 
 
+# ---------------------------------------------------------------- rules and checks with their own thresholds
+
+
+@_add("dense_all_rules", "dense_trips", "dense_pings")
+def _(orders, pings):
+    return rules.run_rules(orders, pings, list(rules.RULES.values()))
+
+
+@_add("dense_rule_006", "dense_trips", "dense_pings")
+def _(orders, pings):
+    return rules.run_rule(orders, pings, rules.RULES["006"])
+
+
+@_add("dense_phases", "dense_trips", "dense_pings")
+def _(orders, pings):
+    seen = review.phase_pings(orders, pings)
+    return seen.groupBy("order_id", "period").agg(F.count("ping_time").alias("n"))
+
+
+def _dense_check(name: str):
+    def run(orders, pings):
+        return review.review_check(review.phase_pings(orders, pings), review.CHECKS[name])
+
+    return run
+
+
+for _name in ("s7", "s8"):
+    _add(f"dense_check_{_name}", "dense_trips", "dense_pings")(_dense_check(_name))
+
+
+@_add("dense_check_s3", "dense_trips", "dense_pings")
+def _(orders, pings):
+    sample = review.phase_pings(orders, pings)
+    return review.orders_hit_by_all(*[review.review_check(sample, review.CHECKS[c]) for c in ("s3a", "s3b")])
+
+
 # ---------------------------------------------------------------- tags
 
 
