@@ -138,18 +138,63 @@ def groups(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFrame:
     return prints.join(reach, "fingerprint").select("doc_id", "text_key", "fingerprint", "root", "component_id")
 
 
-def one_of_each_group(docs: DataFrame, words: int = 5, radius: int = 7) -> DataFrame:
-    """The rows of ``docs`` that stay: of each group the document with the smallest id.
+def _shingles(texts: DataFrame, words: int) -> DataFrame:
+    """(text_key, shingles): the distinct hashes of the runs of ``words`` words of each text."""
 
-    All columns are kept. Ties (one id with several texts of a group) are settled by the text key; fully repeated rows
-    of that document count as one, and one stays. A group without any id keeps its smallest text.
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for text in batch.column(1).to_pylist():
+                split = (text or "").encode().lower().split()
+                runs = {b" ".join(split[i : i + words]) for i in range(max(1, len(split) - words + 1))}
+                found.append(np.array([xxhash.xxh64_intdigest(r) for r in runs], dtype=np.uint64).view(np.int64))
+            ends = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *found])))
+            yield pa.record_batch([batch.column(0), lists], names=["text_key", "shingles"])
+
+    return map_arrow(texts.select("text_key", "text"), work, "text_key string, shingles array<long>")
+
+
+def near_texts(docs: DataFrame, prints: DataFrame, radius: int, shingle: int, similarity: float) -> DataFrame:
+    """(a, b): keys of different texts of ``docs`` whose fingerprints differ in at most ``radius`` bits and which share
+    at least ``similarity`` of their distinct runs of ``shingle`` words."""
+    texts = stored(prints.groupBy("text_key").agg(F.min("fingerprint").alias("fingerprint")))
+    values = texts.select("fingerprint").distinct()
+    pairs = links(values, radius).distinct().select("a", "b", F.lit(False).alias("same"))
+    pairs = pairs.union(
+        texts.groupBy("fingerprint").count().where("count > 1").selectExpr("fingerprint", "fingerprint", "true")
+    )
+    sides = [texts.select(F.col("fingerprint").alias(x), F.col("text_key").alias(f"key_{x}")) for x in "ab"]
+    pairs = pairs.join(sides[0], "a").join(sides[1], "b").where("not same or key_a < key_b").select("key_a", "key_b")
+    pairs = stored(pairs)
+    keys = stored(pairs.select(F.explode(F.array("key_a", "key_b")).alias("text_key")).distinct())
+    wanted = docs.select(text_key(F.col("text")).alias("text_key"), "text").join(keys, "text_key", "left_semi")
+    runs = stored(_shingles(wanted, shingle).dropDuplicates(["text_key"]))
+    sides = [runs.select(F.col("text_key").alias(f"key_{x}"), F.col("shingles").alias(x)) for x in "ab"]
+    both = pairs.join(sides[0], "key_a").join(sides[1], "key_b")
+    shared = F.size(F.array_intersect("a", "b"))
+    near = shared >= similarity * (F.size("a") + F.size("b") - shared)
+    return both.where(near).select(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
+
+
+def one_of_each_group(
+    docs: DataFrame, words: int = 3, radius: int = 11, shingle: int = 5, similarity: float = 0.8
+) -> DataFrame:
+    """The rows of ``docs`` that stay: of each group of near copies the document with the smallest id.
+
+    Near copies are equal texts, and those of ``near_texts``; a group is what they connect. All columns are kept. Ties
+    (one id with several texts of a group) are settled by the text key; fully repeated rows of the document that stays
+    count as one, and one stays. Null ids come last. Texts without words are near copies of each other.
     """
-    member = groups(docs, words, radius)
+    prints = stored(fingerprints(docs, words))
+    near = components(near_texts(docs, prints, radius, shingle, similarity))
+    near = near.withColumnsRenamed({"node": "text_key", "component": "root"})
+    member = prints.join(near, "text_key", "left").withColumn("root", F.coalesce("root", "text_key"))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
     chosen = member.groupBy("root").agg(F.min(order).alias("m")).select("m.*")
     chosen = chosen.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
     keyed = docs.withColumn("__key2", text_key(F.col("text")))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__key2") == F.col("__key"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__key2") == F.col("__key"))
     kept = keyed.join(chosen, same, "left_semi")
     return kept.dropDuplicates(["doc_id", "__key2"]).drop("__key2")
 

@@ -14,7 +14,7 @@ from pathproof.llm import toxicity
 from pathproof.llm.common import stored
 from tests.llm.test_line_dedup import expected
 from tests.llm.test_packing import ids_of
-from tests.llm.test_simhash import fingerprint, roots
+from tests.llm.test_simhash import fingerprint
 
 SF = "/root/testdata/sf0.001"
 
@@ -62,12 +62,30 @@ def test_line_dedup_keeps_the_first_line_of_each_class(frames):
     assert after.where(F.col("n_chars") != F.length("text")).count() == 0
 
 
+def runs_of(text: str, n: int = 5) -> set[str]:
+    words = [w for w in text.translate({c: c + 32 for c in range(65, 91)}).replace("\t", " ").split() if w]
+    return {" ".join(words[i : i + n]) for i in range(max(1, len(words) - n + 1))}
+
+
 def test_one_document_of_each_group_of_near_copies(frames):
     _, before, after = frames[3]
     docs = rows(before)
+    prints, runs = [fingerprint(t) for _, t in docs], [runs_of(t) for _, t in docs]
+    parent = list(range(len(docs)))
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(docs)):
+        for j in range(i):
+            shared = len(runs[i] & runs[j])
+            if (prints[i] ^ prints[j]).bit_count() <= 11 and shared >= 0.8 * (len(runs[i]) + len(runs[j]) - shared):
+                parent[find(i)] = find(j)
     groups = defaultdict(list)
-    for root, doc in zip(roots([fingerprint(t, 5) for _, t in docs], 7), docs, strict=True):
-        groups[root].append((doc[0], hashlib.md5(doc[1].encode()).hexdigest(), doc))
+    for i, doc in enumerate(docs):
+        groups[find(i)].append((doc[0], hashlib.md5(doc[1].encode()).hexdigest(), doc))
     assert rows(after) == sorted(min(g)[2] for g in groups.values())
 
 

@@ -49,7 +49,7 @@ def test_groups_equal_all_pairs(request, name):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
-@pytest.mark.parametrize("radius", [1, 2, 3, 5, 7])
+@pytest.mark.parametrize("radius", [1, 2, 3, 5, 7, 11])
 def test_links_equal_all_pairs(spark, radius):
     rnd = random.Random(radius)
     prints = {0, (1 << 64) - 1}
@@ -89,6 +89,26 @@ def test_one_document_of_each_group_stays(edge, small):
         assert k not in {r["doc_id"] for r in simhash.one_of_each_group(small).select("doc_id").collect()}, i
 
 
+def test_near_copies_go_and_texts_that_share_a_refrain_stay(spark):
+    """Half of the text being one repeated word makes equal fingerprints, but no near copies."""
+    rnd = random.Random(9)
+    words = [f"w{k}" for k in range(400)]
+
+    def text(n: int) -> list[str]:
+        return [rnd.choice(words) for _ in range(n)]
+
+    base = text(300)
+    near = list(base)
+    for at in (40, 150, 260):
+        near[at] = "other"
+    half = base[:150] + text(150)
+    refrains = [" ".join(["la"] * 200 + text(60)) for _ in range(2)]
+    docs = [" ".join(x) for x in (base, near, half)] + refrains
+    assert simhash.simhash(refrains[0]) == simhash.simhash(refrains[1])
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash.one_of_each_group(df).collect()) == [0, 2, 3, 4]
+
+
 def test_components_of_long_paths(spark):
     rnd = random.Random(2)
     nodes = list(range(300))
