@@ -80,12 +80,12 @@ class Model:
 
 
 def train(docs: DataFrame) -> Model:
-    """From all ``docs`` (text, lang) with a language; at least one is needed."""
+    """From all ``docs`` (text, lang) with a language; without any, a model that knows no language."""
     named = docs.where(F.col("lang").isNotNull()).select("lang", "text")
     top = named.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
     languages = sorted(r["lang"] for r in top)
     if not languages:
-        raise ValueError("no document has a language")
+        return Model([], np.zeros((SLOTS, 0), dtype=np.float32), -math.inf)
     place = {name: i for i, name in enumerate(languages)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,9 +194,15 @@ def fuse(evidence: DataFrame, languages: list[str]) -> DataFrame:
     Rows without letters have no text likelihood; the other evidence decides. A missing declaration, host, domain or
     suffix says nothing: its level passes on the level above. Equal probabilities go to the first language by name.
     ``accepted`` is false for rows without letters, for rows whose trigrams are unlike any labelled document's, and
-    where no language has ``LEAST_PROBABILITY``.
+    where no language has ``LEAST_PROBABILITY``. Without any language to choose from, nothing is told or accepted.
     """
     n = len(languages)
+    if not n:
+        nothing = {c: F.lit(None).cast(kind) for c, kind in (("text_lang", "string"), ("lang", "string"), ("probability", "double"))}
+        unknown = evidence.withColumns(nothing | {"accepted": F.lit(False)})
+        return unknown.select(
+            *(c for c in ("id", "text_key") if c in evidence.columns), "host", "declared", *nothing, "accepted"
+        )
     logs = [f"l{i}" for i in range(n)]
     own = [f"p{i}" for i in range(n)]
     rows = evidence.withColumns(dict(zip(own, _normalised([F.col(c) for c in logs]), strict=True)))
@@ -279,5 +285,14 @@ def accepted_documents(docs: DataFrame) -> DataFrame:
     return docs.join(gone, same, "left_anti")
 
 
+def identify_documents(docs: DataFrame, model: Model) -> DataFrame:
+    """(doc_id, host, declared, text_lang, lang, probability, accepted) of every row of ``docs`` (doc_id, text, source)."""
+    found = fuse(document_evidence(docs, model), model.languages)
+    return found.drop("text_key").withColumnRenamed("id", "doc_id")
+
+
 def op7_langid(pages: DataFrame, docs: DataFrame) -> DataFrame:
-    return identify_pages(pages, docs)
+    """Every page and every document, with a page_id or a doc_id; a document's source is its host."""
+    model = train(docs)
+    found = fuse(page_evidence(pages, model), model.languages).withColumnRenamed("id", "page_id")
+    return found.unionByName(identify_documents(docs, model), allowMissingColumns=True)

@@ -54,7 +54,11 @@ def test_pages_by_brute_force(spark, docs, model):
 
 def test_pages_match_their_declaration(spark, docs):
     found = langid.op7_langid(spark.read.parquet(f"{SF}/pages.parquet"), docs).toPandas()
-    assert len(found) == 250 and (found["lang"] == found["declared"]).mean() > 0.99 and found["accepted"].all()
+    pages, others = found[found["page_id"].notna()], found[found["doc_id"].notna()]
+    assert len(pages) == 250 and len(others) == docs.count() and len(found) == len(pages) + len(others)
+    assert (pages["lang"] == pages["declared"]).mean() > 0.99 and found["accepted"].all()
+    right = others.merge(docs.select("doc_id", F.col("lang").alias("truth")).toPandas(), on="doc_id")
+    assert (right["lang"] == right["truth"]).mean() > 0.99
 
 
 def test_held_out_documents(spark, docs):
@@ -70,7 +74,7 @@ def test_other_evidence_decides_short_pages(spark, docs):
     german = docs.where("lang = 'de'").limit(12).collect()
     pages = [(k, "http://a.example.de/x", f"<html><body>{r.text}</body></html>") for k, r in enumerate(german)]
     pages += [(100, "http://a.example.de/y", "<html><p>12 34</p></html>"), (101, None, None), (102, "no address", "<p>x"), (None, "http://b.fr", '<html lang="fr">12')]
-    found = {r.page_id: r for r in langid.op7_langid(spark.createDataFrame(pages, "page_id long, url string, html string"), docs).collect()}
+    found = {r.page_id: r for r in langid.identify_pages(spark.createDataFrame(pages, "page_id long, url string, html string"), docs).collect()}
     assert found[100].lang == "de" and not found[100].accepted and found[100].text_lang is None
     assert found[None].lang == "fr" and found[None].declared == "fr"
     assert len(found) == 16 and found[101].host is None and found[102].host is None
@@ -96,4 +100,8 @@ def test_clean_documents_stay(docs):
 def test_empty_tables(spark, nothing, docs):
     assert langid.accepted_documents(nothing).count() == 0
     none = spark.createDataFrame([], "page_id long, url string, html string")
-    assert langid.op7_langid(none, docs).count() == 0
+    assert langid.identify_pages(none, docs).count() == 0
+    assert langid.op7_langid(none, docs).count() == docs.count()
+    pages = spark.createDataFrame([(1, "http://a.de/", '<html lang="de">Wort')], "page_id long, url string, html string")
+    unknown = langid.op7_langid(pages, nothing).collect()
+    assert [(r.page_id, r.lang, r.declared, r.accepted) for r in unknown] == [(1, None, "de", False)]
