@@ -218,3 +218,31 @@ def test_random_pings_with_ties_copies_and_repeated_orders(spark, seed):
     single = [o for o in orders if o[0] % 3]
     got = run_rules(spark.createDataFrame(single, ORDER), frames[1], rules, one_row_per_order=True, width_s=HOUR)
     assert {(r.order_id, r.code) for r in got.collect()} == {e for e in expected if e[0] % 3}
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_seven_to_ten_rows_of_one_time(spark, seed):
+    """Counts of one time are cut before they are packed; the cut must not make or lose a run."""
+    rng = random.Random(seed)
+    pings = []
+    for driver in range(12):
+        for step in range(14):
+            for k in range(rng.choice([1, 1, 1, 1, 2, 5, 7, 8, 9, 10])):
+                long = rng.random() < 0.55
+                pings.append(
+                    ping(
+                        10 * step,
+                        round(1 + k * 0.5 + (0.12345 if long else 0), 5),
+                        driver=driver,
+                        lat=10.123456789 + k / 1e6 if long else 10.5 + k,
+                        lon=106.123456789 if long else 106.5,
+                        speed=0.12345 if long else 4.0,
+                        device=rng.choice("de"),
+                    )
+                )
+    orders = [order(d, d, start=0, pickup=200, delivered=201) for d in range(12)]
+    frames = spark.createDataFrame(orders, ORDER), spark.createDataFrame(pings, PING)
+    expected = {(oid, c) for c in MATCH for oid in by_definition(orders, pings, c)}
+    got = run_rules(*frames, [RULES[c] for c in MATCH], one_row_per_order=True)
+    assert {(r.order_id, r.code) for r in got.collect()} == expected
+    assert expected
