@@ -48,6 +48,15 @@ class PieceModel:
         self.score = {i: self.library.get_score(i) for i in self.ids.values()}
         self.text = [self.library.id_to_piece(i) for i in range(size)]
         self.longest = max(map(len, self.ids))
+        # what an id alone stands for: the bytes of ASCII are text by themselves, others are not
+        self.byte_of = {i: b for b, i in self.bytes.items()}
+        self.plain = np.array([t if i in self.score else "" for i, t in enumerate(self.text)], dtype=object)
+        self.beyond_ascii = np.zeros(size, dtype=bool)
+        for b, i in self.bytes.items():
+            if b < 0x80:
+                self.plain[i] = chr(b)
+            else:
+                self.beyond_ascii[i] = True
         if any(SPACE in p.lstrip(SPACE) for p in self.ids) or len(self.bytes) != 256:
             raise ValueError("pieces with a blank after other signs, or without byte fallback, are not supported")
         # gives all pieces that end at each sign, the longest first
@@ -194,12 +203,21 @@ class Codec:
         chunks = _CHUNK.findall(SPACE + text.replace(" ", SPACE))
         return np.frombuffer(b"".join([known.get(c) or word(c) for c in chunks]), dtype="<i4")
 
-    def decode(self, ids: list[int] | np.ndarray) -> str:
+    def decode(self, ids: np.ndarray) -> str:
         """Bytes that are no valid text become U+FFFD, one for each; control ids and unknown ids give nothing."""
+        ids = np.asarray(ids, dtype=np.int64)
+        if not self.model.beyond_ascii[ids].any():
+            whole = "".join(self.model.plain[ids].tolist())
+        else:
+            whole = self._decode_bytes(ids.tolist())
+        whole = whole.replace(SPACE, " ")
+        return whole[1:] if whole.startswith(" ") else whole
+
+    def _decode_bytes(self, ids: list[int]) -> str:
+        """Bytes are put together before they are read as text."""
         out: list[str] = []
         pending = bytearray()
-        text, byte_of = self.model.text, {i: b for b, i in self.model.bytes.items()}
-        known = self.model.score
+        byte_of, plain = self.model.byte_of, self.model.plain
 
         def flush() -> None:
             out.append(_lenient(bytes(pending)))
@@ -211,12 +229,10 @@ class Codec:
                 continue
             if pending:
                 flush()
-            if i in known:
-                out.append(text[i])
+            out.append(plain[i])
         if pending:
             flush()
-        whole = "".join(out).replace(SPACE, " ")
-        return whole[1:] if whole.startswith(" ") else whole
+        return "".join(out)
 
 
 def _lenient(octets: bytes) -> str:
@@ -265,7 +281,11 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column(batch.schema.get_field_index("ids"))
-            texts = [None if x is None else codec(model).decode(x) for x in column.to_pylist()]
+            flat = column.flatten().to_numpy(zero_copy_only=False)  # the ids of null lists are left out
+            ends = np.cumsum(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+            known = column.is_valid().to_pylist()
+            parts = np.split(flat, ends[:-1]) if len(known) else []
+            texts = [codec(model).decode(x) if valid else None for x, valid in zip(parts, known, strict=True)]
             yield pa.record_batch(
                 [*(batch.column(batch.schema.get_field_index(c)) for c in kept), pa.array(texts, pa.string())],
                 names=[*kept, "decoded"],
