@@ -89,8 +89,10 @@ def _budgets_hold(differing: Column, segment: Column, radius: int) -> Column:
 def links(prints: DataFrame, radius: int = 3) -> DataFrame:
     """Pairs (a, b), a < b, of distinct ``prints`` (fingerprint) that differ in 1 to ``radius`` bits.
 
-    ``radius`` is 1 to 15. Every pair is found; one is repeated if several chains show it.
+    ``radius`` is 1 to 15. Every pair is found; one is repeated if several chains show it. If ``prints`` have a column
+    root, only pairs of different roots are, with root_a and root_b: what is connected already need not be paired.
     """
+    grouped = ["root"] if "root" in prints.columns else []
     ring = _segments(radius)
     n = len(ring)
     fp = F.col("fingerprint")
@@ -109,14 +111,21 @@ def links(prints: DataFrame, radius: int = 3) -> DataFrame:
                 F.array(*(F.lit(m).cast("long") for m in [0, *(1 << k for k in range(next_width))])).alias("flips"),
             )
         )
-    each = prints.select(fp, F.explode(F.array(*ends)).alias("s")).select("fingerprint", "s.*")
-    index = each.select("segment", "first", "second", fp.alias("b"))
-    probe = each.select("segment", "first", fp.alias("a"), "second", F.explode("flips").alias("flip")).select(
-        "segment", "first", F.col("second").bitwiseXOR(F.col("flip")).alias("second"), "a"
+    each = prints.select(fp, *grouped, F.explode(F.array(*ends)).alias("s")).select("fingerprint", *grouped, "s.*")
+    index = each.select("segment", "first", "second", fp.alias("b"), *(F.col(r).alias(f"{r}_b") for r in grouped))
+    each = each.withColumn("flip", F.explode("flips"))
+    probe = each.select(
+        "segment",
+        "first",
+        F.col("second").bitwiseXOR(F.col("flip")).alias("second"),
+        fp.alias("a"),
+        *(F.col(r).alias(f"{r}_a") for r in grouped),
     )
     pair = probe.join(index, ["segment", "first", "second"])
     differing = F.col("a").bitwiseXOR(F.col("b"))
-    return pair.where((F.col("a") < F.col("b")) & _budgets_hold(differing, F.col("segment"), radius)).select("a", "b")
+    apart = F.col("root_a") != F.col("root_b") if grouped else F.lit(True)
+    found = pair.where((F.col("a") < F.col("b")) & apart & _budgets_hold(differing, F.col("segment"), radius))
+    return found.select("a", "b", *(f"{r}_{x}" for r in grouped for x in "ab"))
 
 
 def groups(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFrame:
@@ -155,18 +164,42 @@ def _shingles(texts: DataFrame, words: int) -> DataFrame:
     return map_arrow(texts.select("text_key", "text"), work, "text_key string, shingles array<long>")
 
 
-def near_texts(docs: DataFrame, prints: DataFrame, radius: int, shingle: int, similarity: float) -> DataFrame:
-    """(a, b): keys of different texts of ``docs`` whose fingerprints differ in at most ``radius`` bits and which share
-    at least ``similarity`` of their distinct runs of ``shingle`` words."""
+def near_groups(
+    docs: DataFrame, prints: DataFrame, radii: tuple[int, ...], shingle: int, similarity: float
+) -> DataFrame:
+    """(text_key, root) of the texts of ``docs`` that have a near copy among them; a root names what they connect.
+
+    Near copies differ in at most ``radii[-1]`` bits of the fingerprint and share at least ``similarity`` of their distinct
+    runs of ``shingle`` words. The smaller radii come first: texts that they connect are not paired with each other again,
+    so that a large group of near copies does not make all its pairs.
+    """
     texts = stored(prints.groupBy("text_key").agg(F.min("fingerprint").alias("fingerprint")))
-    values = texts.select("fingerprint").distinct()
-    pairs = links(values, radius).distinct().select("a", "b", F.lit(False).alias("same"))
-    pairs = pairs.union(
-        texts.groupBy("fingerprint").count().where("count > 1").selectExpr("fingerprint", "fingerprint", "true")
-    )
-    sides = [texts.select(F.col("fingerprint").alias(x), F.col("text_key").alias(f"key_{x}")) for x in "ab"]
-    pairs = pairs.join(sides[0], "a").join(sides[1], "b").where("not same or key_a < key_b").select("key_a", "key_b")
-    pairs = stored(pairs)
+    edges, roots = None, None
+    for radius in radii:
+        labelled = texts.withColumn("root", F.col("text_key"))
+        if roots is not None:
+            labelled = texts.join(roots, "text_key", "left").withColumn("root", F.coalesce("root", "text_key"))
+        labelled = stored(labelled)
+        values = labelled.select("fingerprint").distinct()
+        if edges is not None:
+            values = labelled.select("fingerprint", F.xxhash64("root").alias("root")).distinct()
+        pairs = links(values, radius).select("a", "b").distinct().withColumn("same", F.lit(False))
+        if edges is None:
+            several = labelled.groupBy("fingerprint").count().where("count > 1")
+            pairs = pairs.union(several.selectExpr("fingerprint", "fingerprint", "true"))
+        sides = [
+            labelled.select(F.col("fingerprint").alias(x), F.col("text_key").alias(f"key_{x}"), F.col("root").alias(f"r_{x}"))
+            for x in "ab"
+        ]
+        pairs = pairs.join(sides[0], "a").join(sides[1], "b").where("r_a <> r_b and (not same or key_a < key_b)")
+        near = stored(_similar(docs, stored(pairs.select("key_a", "key_b")), shingle, similarity))
+        edges = near if edges is None else edges.union(near)
+        roots = stored(components(edges).withColumnsRenamed({"node": "text_key", "component": "root"}))
+    return roots
+
+
+def _similar(docs: DataFrame, pairs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """(a, b): the pairs of text keys whose texts share enough of their runs of words."""
     keys = stored(pairs.select(F.explode(F.array("key_a", "key_b")).alias("text_key")).distinct())
     wanted = docs.select(text_key(F.col("text")).alias("text_key"), "text").join(keys, "text_key", "left_semi")
     runs = stored(_shingles(wanted, shingle).dropDuplicates(["text_key"]))
@@ -178,17 +211,16 @@ def near_texts(docs: DataFrame, prints: DataFrame, radius: int, shingle: int, si
 
 
 def one_of_each_group(
-    docs: DataFrame, words: int = 3, radius: int = 11, shingle: int = 5, similarity: float = 0.8
+    docs: DataFrame, words: int = 3, radii: tuple[int, ...] = (7,), shingle: int = 5, similarity: float = 0.8
 ) -> DataFrame:
     """The rows of ``docs`` that stay: of each group of near copies the document with the smallest id.
 
-    Near copies are equal texts, and those of ``near_texts``; a group is what they connect. All columns are kept. Ties
+    Near copies are equal texts, and those of ``near_groups``; a group is what they connect. All columns are kept. Ties
     (one id with several texts of a group) are settled by the text key; fully repeated rows of the document that stays
     count as one, and one stays. Null ids come last. Texts without words are near copies of each other.
     """
     prints = stored(fingerprints(docs, words))
-    near = components(near_texts(docs, prints, radius, shingle, similarity))
-    near = near.withColumnsRenamed({"node": "text_key", "component": "root"})
+    near = near_groups(docs, prints, radii, shingle, similarity)
     member = prints.join(near, "text_key", "left").withColumn("root", F.coalesce("root", "text_key"))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
     chosen = member.groupBy("root").agg(F.min(order).alias("m")).select("m.*")

@@ -81,7 +81,7 @@ def test_one_document_of_each_group_of_near_copies(frames):
     for i in range(len(docs)):
         for j in range(i):
             shared = len(runs[i] & runs[j])
-            if (prints[i] ^ prints[j]).bit_count() <= 11 and shared >= 0.8 * (len(runs[i]) + len(runs[j]) - shared):
+            if (prints[i] ^ prints[j]).bit_count() <= 7 and shared >= 0.8 * (len(runs[i]) + len(runs[j]) - shared):
                 parent[find(i)] = find(j)
     groups = defaultdict(list)
     for i, doc in enumerate(docs):

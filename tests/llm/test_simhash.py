@@ -49,7 +49,7 @@ def test_groups_equal_all_pairs(request, name):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
-@pytest.mark.parametrize("radius", [1, 2, 3, 5, 7, 11])
+@pytest.mark.parametrize("radius", [1, 3, 7, 11])
 def test_links_equal_all_pairs(spark, radius):
     rnd = random.Random(radius)
     prints = {0, (1 << 64) - 1}
