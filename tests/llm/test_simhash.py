@@ -109,6 +109,53 @@ def test_near_copies_go_and_texts_that_share_a_refrain_stay(spark):
     assert sorted(r.doc_id for r in simhash.one_of_each_group(df).collect()) == [0, 2, 3, 4]
 
 
+def test_near_copies_equal_all_pairs_without_a_bound_on_bits(spark):
+    """Texts of 5 to 120 words, edited; many of the pairs differ in more than 7 bits of the fingerprint."""
+    rnd = random.Random(12)
+    words = [f"w{k}" for k in range(300)]
+    docs = []
+    for n in [5, 8, 14, 20, 30, 45, 60, 120] * 6:
+        base = [rnd.choice(words) for _ in range(n)]
+        for k in range(4):
+            other = list(base)
+            for _ in range(k * n // 60 + (k > 0)):
+                other[rnd.choice([0, 1, len(other) - 1, rnd.randrange(len(other))])] = rnd.choice(words)
+            docs.append(" ".join(other + ["w1"] * rnd.randint(0, 1)))
+    rnd.shuffle(docs)
+
+    def runs(text: str) -> set[tuple]:
+        split = text.split()
+        return {tuple(split[i : i + 5]) for i in range(max(1, len(split) - 4))}
+
+    sets, prints = [runs(t) for t in docs], [fingerprint(t) for t in docs]
+    head = list(range(len(docs)))
+
+    def find(x: int) -> int:
+        while head[x] != x:
+            x = head[x]
+        return x
+
+    bits = []
+    for i in range(len(docs)):
+        for j in range(i):
+            shared = len(sets[i] & sets[j])
+            if shared >= 0.8 * (len(sets[i]) + len(sets[j]) - shared):
+                bits.append((prints[i] ^ prints[j]).bit_count())
+                x, y = sorted((find(i), find(j)))
+                head[y] = x
+    assert sum(b > 7 for b in bits) > 10 and max(bits) > 11
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    kept = sorted(r.doc_id for r in simhash.one_of_each_group(df).collect())
+    assert kept == sorted({find(i) for i in range(len(docs))})
+
+
+def test_order_of_common_runs_does_not_change_near_copies(spark, small, monkeypatch):
+    want = sorted(map(str, simhash.one_of_each_group(small).select("doc_id", "text").collect()))
+    monkeypatch.setattr(simhash, "COMMON", 1)
+    monkeypatch.setattr(simhash, "FIRST_RUNS", 1)
+    assert sorted(map(str, simhash.one_of_each_group(small).select("doc_id", "text").collect())) == want
+
+
 def test_components_of_long_paths(spark):
     rnd = random.Random(2)
     nodes = list(range(300))
