@@ -31,8 +31,11 @@ TEMPER = 1 / 3
 LEVEL_WEIGHT = 5.0
 #: Pages that the belief in declarations is worth, and the belief.
 DECLARED_WEIGHT, DECLARED_TRUST = 20.0, 0.8
-#: Accepted: at least this probability, and no trigram mean below the labelled documents' lowest by more than this.
-LEAST_PROBABILITY, ODD_BY = 0.5, 1.0
+#: Accepted: at least this probability, and a trigram mean not below the language's median by more than both this and so
+#: many deviations.
+LEAST_PROBABILITY, ODD_BY, ODD_DEVIATIONS = 0.5, 4.0, 12.0
+#: Means of texts of fewer trigrams deviate more, by the root of their number; languages of fewer documents have no bar.
+STEADY, LEAST_DOCUMENTS = 100, 20
 
 #: Address suffixes of countries with one main written language; fixed values.
 SUFFIX_LANGUAGE = {
@@ -64,11 +67,12 @@ def slots(text: str | None) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Model:
-    """Log-probabilities of slots by language, and the lowest mean of a labelled document."""
+    """Log-probabilities of slots by language; trigrams, and median and deviation of the documents' means, of each."""
 
     languages: list[str]
     table: np.ndarray
-    lowest: float
+    totals: np.ndarray
+    bars: np.ndarray
 
     def likelihood(self, text: str | None) -> tuple[np.ndarray, int]:
         """Log-likelihood of the text by language, and its number of trigrams."""
@@ -78,6 +82,26 @@ class Model:
             total += self.table[found[at : at + (1 << 20)]].sum(axis=0, dtype=np.float64)
         return total, len(found)
 
+    def mean_without_own(self, text: str | None, which: int) -> float:
+        """Mean of a text's trigrams in the language that its own ones were counted for, as if they had not been."""
+        slot, n = np.unique(slots(text), return_counts=True)
+        counts = np.exp(self.table[slot].astype(np.float64)) * (self.totals + 1) - 0.501
+        counts[:, which] -= n
+        seen = (counts > 0.5).any(axis=1)
+        share = np.maximum(counts[:, which], 0) + 0.5 * seen + 1e-3
+        return float((n * np.log(share / max(self.totals[which] - n.sum() + 1, 1))).sum() / n.sum())
+
+    def odd(self, means: np.ndarray, n: int) -> bool:
+        """Whether a text of ``n`` trigrams with these means by language is unlike the documents of the likeliest one."""
+        if not n or not len(means):
+            return True
+        median, deviation = self.bars[int(means.argmax())]
+        return bool(median - means.max() > max(ODD_BY, ODD_DEVIATIONS * deviation) * _spread(n))
+
+
+def _spread(n: np.ndarray | int) -> np.ndarray | float:
+    return np.sqrt(1 + STEADY / n)
+
 
 def train(docs: DataFrame) -> Model:
     """From all ``docs`` (text, lang) with a language; without any, a model that knows no language."""
@@ -85,7 +109,7 @@ def train(docs: DataFrame) -> Model:
     top = named.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
     languages = sorted(r["lang"] for r in top)
     if not languages:
-        return Model([], np.zeros((SLOTS, 0), dtype=np.float32), -math.inf)
+        return Model([], np.zeros((SLOTS, 0), dtype=np.float32), np.zeros(0), np.zeros((0, 2)))
     place = {name: i for i, name in enumerate(languages)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,20 +128,39 @@ def train(docs: DataFrame) -> Model:
     counts[found["slot"], found["which"]] = found["n"]
     share = (counts + 0.5 * (counts.sum(axis=1, keepdims=True) > 0) + 1e-3) / (counts.sum(axis=0) + 1)
     table = np.log(share).astype(np.float32)
-    model = Model(languages, table, -math.inf)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    model = Model(languages, table, counts.sum(axis=0), np.zeros((len(languages), 2)))
+    return Model(languages, table, model.totals, _bars(named, model))
+
+
+def _bars(named: DataFrame, model: Model) -> np.ndarray:
+    """(median, deviation) of the means of each language's documents, less what each of them added to the counts.
+
+    The deviation is the median one, of a text of many trigrams. A few odd documents move neither, nor does the number
+    of documents. Languages of fewer than ``LEAST_DOCUMENTS`` have an endless deviation.
+    """
+    sent = named.sparkSession.sparkContext.broadcast(model)
+    place = {name: i for i, name in enumerate(model.languages)}
 
     def mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                total, n = sent.value.likelihood(text)
+                n = len(slots(text))
                 if n and name in place:
-                    rows.append(float(total[place[name]]) / n)
-            yield pa.record_batch([pa.array(rows, pa.float64())], names=["mean"])
-
-    lowest = map_arrow(named, mean, "mean double").agg(F.min("mean")).first()[0]
-    return Model(languages, table, -math.inf if lowest is None else lowest)
+                    rows.append((place[name], sent.value.mean_without_own(text, place[name]), float(_spread(n))))
+            columns = list(zip(*rows, strict=True)) or [(), (), ()]
+            kinds = (pa.int64(), pa.float64(), pa.float64())
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["which", "mean", "spread"])
+
+    means = stored(map_arrow(named, mean, "which long, mean double, spread double"))
+    middle = means.groupBy("which").agg(F.percentile_approx("mean", 0.5).alias("median"), F.count("*").alias("n"))
+    off = F.abs(F.col("mean") - F.col("median")) / F.col("spread")
+    both = means.join(F.broadcast(middle), "which").groupBy("which", "median", "n")
+    bars = np.tile([0.0, math.inf], (len(model.languages), 1))
+    for r in both.agg(F.percentile_approx(off, 0.5).alias("off")).collect():  # bounded by MOST_LANGUAGES
+        if r["n"] >= LEAST_DOCUMENTS:
+            bars[r["which"]] = r["median"], 1.4826 * r["off"]
+    return bars
 
 
 def page_evidence(pages: DataFrame, model: Model) -> DataFrame:
@@ -144,8 +187,16 @@ def page_evidence(pages: DataFrame, model: Model) -> DataFrame:
 
 
 def document_evidence(docs: DataFrame, model: Model) -> DataFrame:
-    """The same of ``docs`` (doc_id, text, source), whose source takes the host's place, with (text_key)."""
-    slim = docs.select(F.col("doc_id").cast("long").alias("id"), "text", F.col("source").cast("string").alias("source"))
+    """The same of ``docs`` (doc_id, text, source), whose source takes the host's place, with (text_key).
+
+    If ``docs`` have a lang, they are those that the model was trained on, and are odd without their own counts.
+    """
+    slim = docs.select(
+        F.col("doc_id").cast("long").alias("id"),
+        "text",
+        F.col("source").cast("string").alias("source"),
+        *(["lang"] if "lang" in docs.columns else []),
+    )
     return _evidence(
         slim.withColumn("text_key", text_key(F.col("text"))),
         lambda batch: [
@@ -161,6 +212,7 @@ def _evidence(rows: DataFrame, parts, model: Model) -> DataFrame:
     keep = [c for c in rows.columns if c in ("id", "text_key")]
     names = ["declared", "suffix", "domain", "host"]
     chances = [f"l{i}" for i in range(len(model.languages))]
+    place = {name: i for i, name in enumerate(model.languages)}
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -168,12 +220,16 @@ def _evidence(rows: DataFrame, parts, model: Model) -> DataFrame:
             scored = [sent.value.likelihood(f[4]) for f in found]
             totals = np.array([s[0] for s in scored]).reshape(len(found), len(chances)) * TEMPER
             n = np.array([s[1] for s in scored], dtype=np.int64)
-            means = totals.max(axis=1, initial=-np.inf) / TEMPER / np.maximum(n, 1)
-            odd = (n == 0) | (means < sent.value.lowest - ODD_BY)
+            means = totals / TEMPER / np.maximum(n, 1)[:, None]
+            at = batch.schema.get_field_index("lang")
+            for i, name in enumerate(batch.column(at).to_pylist() if at >= 0 else []):
+                if n[i] and name in place:
+                    means[i, place[name]] = sent.value.mean_without_own(found[i][4], place[name])
+            odd = [sent.value.odd(m, k) for m, k in zip(means, n, strict=True)]
             totals = np.where(n[:, None] > 0, totals - totals.max(axis=1, initial=-np.inf, keepdims=True), 0)
             columns = [batch.column(batch.schema.get_field_index(c)) for c in keep]
             columns += [pa.array([f[i] for f in found], pa.string()) for i in range(len(names))]
-            columns += [pa.array(odd), pa.array(n)]
+            columns += [pa.array(odd, pa.bool_()), pa.array(n)]
             columns += [pa.array(np.maximum(totals[:, i], -700.0)) for i in range(len(chances))]
             yield pa.record_batch(columns, names=[*keep, *names, "odd", "n", *chances])
 
@@ -193,8 +249,8 @@ def fuse(evidence: DataFrame, languages: list[str]) -> DataFrame:
 
     Rows without letters have no text likelihood; the other evidence decides. A missing declaration, host, domain or
     suffix says nothing: its level passes on the level above. Equal probabilities go to the first language by name.
-    ``accepted`` is false for rows without letters, for rows whose trigrams are unlike any labelled document's, and
-    where no language has ``LEAST_PROBABILITY``. Without any language to choose from, nothing is told or accepted.
+    ``accepted`` is false for rows without letters, for rows whose trigrams are unlike those of the likeliest language's
+    labelled documents, and where no language has ``LEAST_PROBABILITY``. Without any language to choose from, nothing is told or accepted.
     """
     n = len(languages)
     if not n:

@@ -97,6 +97,21 @@ def test_clean_documents_stay(docs):
     assert langid.accepted_documents(docs).count() == docs.count()
 
 
+def test_labelled_gibberish_and_foreign_texts_go(spark, docs):
+    import random
+
+    rnd = random.Random(5)
+    odd = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz    ") for _ in range(n)) for n in (60, 300, 3000)]
+    odd.append("Это простой русский текст о лесе и о животных, которые в нём живут. " * 3)
+    odd.append("Kissa istuu ikkunalla ja katselee lintuja, jotka lentävät korkealla taivaalla. " * 2)
+    planted = [(10**9 + k, t, "en" if k % 2 else "de", "s", len(t)) for k, t in enumerate(odd)]
+    names = ["doc_id", "text", "lang", "source", "n_chars"]
+    some = spark.createDataFrame(planted, "doc_id long, text string, lang string, source string, n_chars long")
+    both = docs.select(*names).unionByName(some)
+    kept = {r.doc_id for r in langid.accepted_documents(both).select("doc_id").collect()}
+    assert kept == {r.doc_id for r in docs.select("doc_id").collect()}
+
+
 def test_empty_tables(spark, nothing, docs):
     assert langid.accepted_documents(nothing).count() == 0
     none = spark.createDataFrame([], "page_id long, url string, html string")
