@@ -13,6 +13,7 @@ from pathproof.llm import (
     linedup,
     packing,
     pieces,
+    search,
     simhash,
     tokencount,
     tokenfile,
@@ -64,6 +65,10 @@ def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.op10_embeddings(table(spark, sf_dir, "embeddings"))
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.op11_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_linedup": op1_linedup,
     "op2_tokencount": op2_tokencount,
@@ -75,6 +80,7 @@ QUERIES: dict[str, Query] = {
     "op8_tokenfile": op8_tokenfile,
     "op9_pieces": op9_pieces,
     "op10_embeddings": op10_embeddings,
+    "op11_search": op11_search,
 }
 
 #: Token ids, hashes of Spark, classifiers and edit distances over all lines are beyond SQL; the tests compare those
@@ -103,4 +109,5 @@ ORACLES: dict[str, str] = {
         SELECT v.vec_id, coalesce(n_links, 0) AS n_links, component_id, v.vec_id = component_id AS kept
         FROM v JOIN least USING (vec_id) LEFT JOIN counts USING (vec_id)
     """,
+    "op11_search": search.ORACLE_SQL,
 }
