@@ -12,6 +12,7 @@ from pathproof.llm import (
     langid,
     linedup,
     packing,
+    phrases,
     pieces,
     search,
     simhash,
@@ -69,6 +70,10 @@ def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.op11_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.op12_phrases(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_linedup": op1_linedup,
     "op2_tokencount": op2_tokencount,
@@ -81,6 +86,7 @@ QUERIES: dict[str, Query] = {
     "op9_pieces": op9_pieces,
     "op10_embeddings": op10_embeddings,
     "op11_search": op11_search,
+    "op12_phrases": op12_phrases,
 }
 
 #: Token ids, hashes of Spark, classifiers and edit distances over all lines are beyond SQL; the tests compare those
@@ -110,4 +116,5 @@ ORACLES: dict[str, str] = {
         FROM v JOIN least USING (vec_id) LEFT JOIN counts USING (vec_id)
     """,
     "op11_search": search.ORACLE_SQL,
+    "op12_phrases": phrases.ORACLE_SQL,
 }

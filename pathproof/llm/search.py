@@ -15,6 +15,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 
 from pathproof.llm.common import map_arrow, stored
 
-#: Documents of one row of the index at most.
+#: Documents from which on a row of the index is closed; a batch of ``BATCH_ROWS`` documents more may be in it.
 STRATUM_DOCS = 1024
 #: Terms of the items that are searched for at a time (an item's own terms stay together).
 BLOCK_TERMS = 1_000_000
@@ -94,8 +95,11 @@ def _counted(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
     return map_arrow(slim, work, "doc_id long, n long, terms array<int>, tfs array<int>")
 
 
-def build(docs: DataFrame, vocabulary: dict[bytes, int]) -> Index:
-    """Index of every row of ``docs`` (doc_id, text) for the terms of ``vocabulary`` (term to its place from 0 on)."""
+def build(docs: DataFrame, vocabulary: dict[bytes, int], stratum_docs: int = STRATUM_DOCS) -> Index:
+    """Index of every row of ``docs`` (doc_id, text) for the terms of ``vocabulary`` (term to its place from 0 on).
+
+    A row of the index has ``stratum_docs`` documents or few more.
+    """
     counted = stored(_counted(docs, vocabulary))
     documents, words = counted.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     df = np.zeros(len(vocabulary), dtype=np.int64)
@@ -106,10 +110,10 @@ def build(docs: DataFrame, vocabulary: dict[bytes, int]) -> Index:
     rows = counted.where(F.size("terms") > 0).withColumn("m", m).select("m", "doc_id", "terms", "tfs")
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     schema = "m long, docs array<long>, terms array<int>, tfs array<int>, starts array<int>, members array<int>"
-    return Index(stored(map_arrow(rows, _strata, schema)), vocabulary, documents, df)
+    return Index(stored(map_arrow(rows, partial(_strata, stratum_docs), schema)), vocabulary, documents, df)
 
 
-def _strata(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _strata(stratum_docs: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of documents, in the order of m, as rows of strata."""
     left: tuple[int, list[np.ndarray]] | None = None  # of the last m: ids, and (member, term, tf) of its postings
 
@@ -136,7 +140,7 @@ def _strata(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             own = slice(ends[first], ends[last])
             part = [ids[first:last], np.repeat(np.arange(last - first), sizes[first:last]), term[own], tf[own]]
-            if left is not None and (left[0] != m[first] or len(left[1][0]) >= STRATUM_DOCS):
+            if left is not None and (left[0] != m[first] or len(left[1][0]) >= stratum_docs):
                 yield row(left[0], *left[1])
                 left = None
             left = (int(m[first]), part if left is None else joined(left[1], part))
@@ -180,7 +184,7 @@ def search(index: Index, items: list[list[int]], k: int) -> DataFrame:
                 sums = np.concatenate([[0], np.cumsum(weights[flat] * impacts(most, m)[flat])])
                 ceilings[i] = sums[np.cumsum(sizes)] - sums[np.cumsum(sizes) - sizes]
             for i in np.argsort(-ceilings.max(axis=1, initial=0), kind="stable"):
-                _visited(rows[i], ceilings[i] >= best.floors, weights, owner, flat, best)
+                _visited(rows[i], ceilings[i] >= best.floors, weights, owner, flat, best, _SUMMED)
             rows.clear()
 
         for batch in batches:
@@ -203,7 +207,7 @@ def _arrays(column: pa.ListArray) -> Iterator[np.ndarray]:
 
 
 def _visited(
-    row: tuple, wanted: np.ndarray, weights: np.ndarray, owner: np.ndarray, flat: np.ndarray, best: _Best
+    row: tuple, wanted: np.ndarray, weights: np.ndarray, owner: np.ndarray, flat: np.ndarray, best: _Best, summed: int
 ) -> None:
     """Adds the documents of one row of the index that are good enough for the ``wanted`` items."""
     m, ids, term, tf, starts, members = row
@@ -217,7 +221,7 @@ def _visited(
     # items one after the other, so many at a time that their postings stay few
     group = np.zeros(len(wanted), dtype=np.int64)
     np.add.at(group, item, counts)
-    group = np.cumsum(group) // _SUMMED
+    group = np.cumsum(group) // summed
     for g in np.unique(group[wanted]):
         mine = group[item] == g
         some, c, x = item[mine], counts[mine], t[mine]
@@ -234,7 +238,7 @@ def _visited(
             best.add(low + i, scores[i, good], ids[good])
 
 
-def ranked(docs: DataFrame, items: DataFrame, k: int = 10) -> DataFrame:
+def ranked(docs: DataFrame, items: DataFrame, k: int = 10, stratum_docs: int = STRATUM_DOCS) -> DataFrame:
     """(item_id, rank, doc_id, score): the ``k`` rows of ``docs`` (doc_id, text) that score highest for each of ``items``.
 
     ``items`` has the columns item_id and text; rows of one item_id (null is one, too) are one item with the terms of
@@ -255,18 +259,18 @@ def ranked(docs: DataFrame, items: DataFrame, k: int = 10) -> DataFrame:
     each = stored(each.groupBy("item_id").agg(F.array_distinct(F.flatten(F.collect_list("terms"))).alias("terms")))
     total = each.agg(F.coalesce(F.sum(F.size("terms")), F.lit(0))).first()[0]
     blocks = max(1, math.ceil(total / BLOCK_TERMS))
-    found = [_block(docs, each.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b), k) for b in range(blocks)]
+    found = [_block(docs, each.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b), k, stratum_docs) for b in range(blocks)]
     out = found[0]
     for other in found[1:]:
         out = out.unionByName(other)
     return out
 
 
-def _block(docs: DataFrame, items: DataFrame, k: int) -> DataFrame:
+def _block(docs: DataFrame, items: DataFrame, k: int, stratum_docs: int) -> DataFrame:
     chosen = items.where(F.size("terms") > 0).toArrow()
     vocabulary: dict[bytes, int] = {}
     lists = [[vocabulary.setdefault(t.encode(), len(vocabulary)) for t in ts] for ts in chosen["terms"].to_pylist()]
-    found = stored(search(build(docs, vocabulary), lists, k))
+    found = stored(search(build(docs, vocabulary, stratum_docs), lists, k))
     names = items.sparkSession.createDataFrame(
         [(i, x) for i, x in enumerate(chosen["item_id"].to_pylist())], "item long, item_id long"
     )

@@ -45,8 +45,8 @@ def expected(docs: list[tuple], items: list[tuple], k: int = 10) -> list[tuple]:
     return sorted(out, key=str)
 
 
-def answer(docs, items, k: int = 10) -> list[tuple]:
-    return sorted(map(tuple, search.ranked(docs, items, k).collect()), key=str)
+def answer(docs, items, k: int = 10, **options) -> list[tuple]:
+    return sorted(map(tuple, search.ranked(docs, items, k, **options).collect()), key=str)
 
 
 def pairs(df, *names: str) -> list[tuple]:
@@ -93,14 +93,13 @@ def test_empty_tables(spark, edge, nothing):
 
 def test_many_equal_documents_of_one_stratum(spark, monkeypatch):
     """Ties across the rows of a stratum; rows and sums are cut small, and blocks hold few terms."""
-    monkeypatch.setattr(search, "STRATUM_DOCS", 7)
     monkeypatch.setattr(search, "_SUMMED", 20)
     monkeypatch.setattr(search, "_ORDERED", 3)
     monkeypatch.setattr(search, "BLOCK_TERMS", 10)
     docs = [(k * 37 % 200, "same text here" if k % 3 else f"same text {'here ' * (k % 5)}") for k in range(200)]
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
     items = spark.createDataFrame(ITEMS + [(9, "same here text"), (10, "here")], "item_id long, text string")
-    assert answer(df, items) == expected(docs, ITEMS + [(9, "same here text"), (10, "here")])
+    assert answer(df, items, stratum_docs=7) == expected(docs, ITEMS + [(9, "same here text"), (10, "here")])
 
 
 def test_strata_hold_all_postings_and_bounds_hold(spark, small):
