@@ -14,6 +14,7 @@ from pathproof.llm import (
     packing,
     phrases,
     pieces,
+    quality,
     search,
     simhash,
     tokencount,
@@ -74,6 +75,10 @@ def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.op12_phrases(table(spark, sf_dir, "documents"))
 
 
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.op13_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_linedup": op1_linedup,
     "op2_tokencount": op2_tokencount,
@@ -87,6 +92,7 @@ QUERIES: dict[str, Query] = {
     "op10_embeddings": op10_embeddings,
     "op11_search": op11_search,
     "op12_phrases": op12_phrases,
+    "op13_quality": op13_quality,
 }
 
 #: Token ids, hashes of Spark, classifiers and edit distances over all lines are beyond SQL; the tests compare those
