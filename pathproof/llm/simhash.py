@@ -10,7 +10,6 @@ budgets of longer chains prune the pairs within the join, before the full count
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,10 +23,6 @@ from pathproof.llm.common import components, map_arrow, stored, text_key
 BITS = 64
 #: Shingles whose bits are counted at a time.
 _SLICE = 1 << 16
-#: Near copies: a run of words that more texts hold among their first ones is common; the most of them that are sent.
-COMMON, SENT_RUNS = 50, 1 << 20
-#: Runs of a text whose smallest holder it is compared with before the join.
-FIRST_RUNS = 4
 
 
 def simhash(text: str | None, words: int = 3, seed: int = 42) -> int:
@@ -148,121 +143,15 @@ def groups(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFrame:
     return prints.join(reach, "fingerprint").select("doc_id", "text_key", "fingerprint", "root", "component_id")
 
 
-def _runs(text: str | None, words: int) -> np.ndarray:
-    """The distinct hashes of the runs of ``words`` words of a text, in ascending order."""
-    split = (text or "").encode().lower().split()
-    runs = {b" ".join(split[i : i + words]) for i in range(max(1, len(split) - words + 1))}
-    return np.unique(np.array([xxhash.xxh64_intdigest(r) for r in runs], dtype=np.uint64).view(np.int64))
-
-
-def _lists(found: list[np.ndarray]) -> pa.ListArray:
-    ends = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *found])))
-
-
-def _shingles(texts: DataFrame, words: int) -> DataFrame:
-    """(text_key, shingles): the distinct hashes of the runs of ``words`` words of each text."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = _lists([_runs(t, words) for t in batch.column(1).to_pylist()])
-            yield pa.record_batch([batch.column(0), lists], names=["text_key", "shingles"])
+def one_of_each_group(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFrame:
+    """The rows of ``docs`` that stay: of each of the ``groups`` the document with the smallest id.
 
-    return map_arrow(texts.select("text_key", "text"), work, "text_key string, shingles array<long>")
-
-
-def _prefixes(docs: DataFrame, words: int, similarity: float, last: np.ndarray) -> DataFrame:
-    """(text_key, size, prefix) of each different text: its number of runs, and the first ones in one order of all runs.
-
-    The order is that of the hashes, but the runs in ``last`` come last. Two texts that share ``similarity`` of their
-    runs share at least that part of the larger one's, so all but that part, and one more, of each hold a common run.
-    """
-    sent = docs.sparkSession.sparkContext.broadcast(last)  # bounded by SENT_RUNS
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, first = [], []
-            for text in batch.column(1).to_pylist():
-                runs = _runs(text, words)
-                n = len(runs)
-                if len(sent.value):
-                    at = np.minimum(np.searchsorted(sent.value, runs), len(sent.value) - 1)
-                    late = sent.value[at] == runs
-                    runs = np.concatenate([runs[~late], runs[late]])
-                sizes.append(n)
-                first.append(runs[: n - math.ceil(similarity * n - 1e-9) + 1])
-            columns = [batch.column(0), pa.array(sizes, pa.int64()), _lists(first)]
-            yield pa.record_batch(columns, names=["text_key", "size", "prefix"])
-
-    slim = docs.select(text_key(F.col("text")).alias("text_key"), "text")
-    found = map_arrow(slim, work, "text_key string, size long, prefix array<long>")
-    return stored(found.dropDuplicates(["text_key"]))
-
-
-def near_groups(docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """(text_key, root) of the texts of ``docs`` that have a near copy among them; a root names what they connect.
-
-    Near copies share at least ``similarity`` of their distinct runs of ``shingle`` words; every pair is found. Each text
-    is first compared with one holder of each of its first runs. What that connects is not paired again: runs whose
-    holders are all connected are left out, the others join holders that are not. Common runs come last in the order
-    of runs, so that few texts have them among the first; that order changes the work and not the result.
-    """
-    none = np.empty(0, dtype=np.int64)
-    texts = _prefixes(docs, shingle, similarity, none)
-    counts = texts.select(F.explode("prefix").alias("run")).groupBy("run").count().where(F.col("count") > COMMON)
-    common = counts.orderBy(F.desc("count"), "run").limit(SENT_RUNS).toPandas()["run"].to_numpy(dtype=np.int64)
-    if len(common):
-        texts = _prefixes(docs, shingle, similarity, np.sort(common))
-    texts = texts.withColumn("id", F.xxhash64("text_key"))
-    keys = texts.select("id", "text_key")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        named = pairs.join(keys.withColumnsRenamed({"id": "a", "text_key": "key_a"}), "a")
-        named = named.join(keys.withColumnsRenamed({"id": "b", "text_key": "key_b"}), "b")
-        return stored(_similar(docs, stored(named.select("key_a", "key_b")), shingle, similarity))
-
-    few = texts.select("id", F.explode(F.slice("prefix", 1, FIRST_RUNS)).alias("run"))
-    holders = few.groupBy("run").agg(F.min("id").alias("b"), F.max("id").alias("top")).where("b < top").drop("top")
-    star = few.join(holders, "run").select(F.col("id").alias("a"), "b").where("a <> b").distinct()
-    edges = verified(star)
-    roots = stored(components(edges).select(F.xxhash64("node").alias("id"), F.xxhash64("component").alias("root")))
-    rooted = texts.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    rooted = stored(rooted.select("id", "root", "size", "prefix"))
-    each = rooted.select("id", "root", "size", F.explode("prefix").alias("run"))
-    mixed = each.groupBy("run").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most")
-    each = stored(each.join(mixed.select("run"), "run", "left_semi"))
-    a, b = (each.select("run", *(F.col(c).alias(f"{c}_{x}") for c in ("id", "root", "size"))) for x in "ab")
-    fit = F.least("size_a", "size_b") >= similarity * F.greatest("size_a", "size_b") - 1e-9
-    pairs = a.join(b, (a["run"] == b["run"]) & (F.col("id_a") < F.col("id_b")) & (F.col("root_a") != F.col("root_b")) & fit)
-    rest = verified(pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct())
-    return stored(components(edges.union(rest)).withColumnsRenamed({"node": "text_key", "component": "root"}))
-
-
-def _similar(docs: DataFrame, pairs: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """(a, b): the pairs of text keys whose texts share enough of their runs of words."""
-    keys = stored(pairs.select(F.explode(F.array("key_a", "key_b")).alias("text_key")).distinct())
-    wanted = docs.select(text_key(F.col("text")).alias("text_key"), "text").join(keys, "text_key", "left_semi")
-    runs = stored(_shingles(wanted, shingle).dropDuplicates(["text_key"]))
-    sides = [runs.select(F.col("text_key").alias(f"key_{x}"), F.col("shingles").alias(x)) for x in "ab"]
-    both = pairs.join(sides[0], "key_a").join(sides[1], "key_b")
-    shared = F.size(F.array_intersect("a", "b"))
-    near = shared >= similarity * (F.size("a") + F.size("b") - shared)
-    return both.where(near).select(F.col("key_a").alias("a"), F.col("key_b").alias("b"))
-
-
-def one_of_each_group(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` that stay: of each group of near copies the document with the smallest id.
-
-    Near copies are equal texts, and those of ``near_groups``; a group is what they connect. All columns are kept. Ties
-    (one id with several texts of a group) are settled by the text key; fully repeated rows of the document that stays
-    count as one, and one stays. Null ids come last. Texts without words are near copies of each other.
+    All columns are kept. Ties (one id with several texts of a group) are settled by the text key; fully repeated rows of
+    the document that stays count as one, and one stays. Null ids come last. Texts without words are one group.
     """
-    prints = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("text_key"))
-    near = near_groups(docs, shingle, similarity)
-    member = prints.join(near, "text_key", "left").withColumn("root", F.coalesce("root", "text_key"))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
-    chosen = member.groupBy("root").agg(F.min(order).alias("m")).select("m.*")
-    chosen = chosen.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
+    chosen = groups(docs.select("doc_id", "text"), words, radius).groupBy("root").agg(F.min(order).alias("m")).select("m.*")
+    chosen = stored(chosen.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")))
     keyed = docs.withColumn("__key2", text_key(F.col("text")))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__key2") == F.col("__key"))
     kept = keyed.join(chosen, same, "left_semi")
