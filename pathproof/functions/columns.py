@@ -28,8 +28,14 @@ def fraction_digits(x: Column | str) -> Column:
     3.9600000000000004 and has 16. Engines print small and large doubles differently (1.0E-4
     against 0.0001), so the exponent is taken off the digits of the mantissa. NULL when ``x``
     is no finite number.
+
+    The text is the variable of a lambda: stated directly, it would be repeated, and with it
+    whatever ``x`` is made of, wherever the optimizer merges projections.
     """
-    text = F.upper(_col(x).cast("string"))
+    return F.transform(F.array(F.upper(_col(x).cast("string"))), _digits_of_text)[0]
+
+
+def _digits_of_text(text: Column) -> Column:
     mantissa, power = (F.split_part(text, F.lit("E"), F.lit(n)) for n in (1, 2))
     digits = F.length(F.rtrim(F.split_part(mantissa, F.lit("."), F.lit(2)), F.lit("0")))
     exponent = F.coalesce(power.try_cast("int"), F.lit(0))
@@ -39,8 +45,7 @@ def fraction_digits(x: Column | str) -> Column:
 
 def round7(x: Column | str) -> Column:
     """Round to 7 decimals, but only a coordinate that carries more than 7."""
-    c = _col(x)
-    return F.when(fraction_digits(c) > 7, F.round(c, 7)).otherwise(c)
+    return F.transform(F.array(_col(x)), lambda c: F.when(fraction_digits(c) > 7, F.round(c, 7)).otherwise(c))[0]
 
 
 def speed_kmh(metres_per_second: Column | str) -> Column:

@@ -80,39 +80,62 @@ def holding(
 ) -> DataFrame:
     """Distinct ``windows`` that hold at least one span: ``lo <= start`` and ``end <= hi``.
 
+    See ``holding_each``, of which this is the case of one kind of span.
+    """
+    held = holding_each(windows, spans.withColumn("_what", F.lit("")), on, "_what", [""], lo, hi, start, end, width_s)
+    return held.drop("_what")
+
+
+def holding_each(
+    windows: DataFrame,
+    spans: DataFrame,
+    on: Sequence[str],
+    what: str,
+    names: Sequence[str],
+    lo: str,
+    hi: str,
+    start: str = "start",
+    end: str = "end",
+    width_s: int = HOUR,
+) -> DataFrame:
+    """Distinct ``windows`` with the column ``what``: a row for each of ``names`` of which they hold a span.
+
     A window holds a span exactly when the smallest end among the spans that start at or
     after ``lo`` is at most ``hi``. That end is a running minimum, taken backwards in time:
     inside each (keys, slot), and over one summary row per (keys, slot) for the later ones.
-    Windows are not unfolded into slots, so a broken time costs nothing, and no window is
-    compared with more than one number.
+    There is one running minimum for each name, all over the same rows: a window asks once,
+    whatever the number of names. Windows are not unfolded into slots, so a broken time costs
+    nothing, and no window is compared with more than one number of each name.
     """
-    marks = spans.select(*on, F.col(start).alias("_t"), F.col(end).alias("_end"))
-    asked = windows.select(*on, F.col(lo).alias("_t"), F.lit(None).cast(marks.schema["_end"].dataType).alias("_end"))
+    ends = [f"_end{i}" for i in range(len(names))]
+    marks = spans.where(F.col(what).isin(*names)).select(
+        *on,
+        F.col(start).alias("_t"),
+        *[F.when(F.col(what) == name, F.col(end)).alias(e) for name, e in zip(names, ends, strict=True)],
+        F.lit(False).alias("_asked"),
+    )
+    nothing = [F.lit(None).cast(spans.schema[end].dataType).alias(e) for e in ends]
+    asked = windows.select(*on, F.col(lo).alias("_t"), *nothing, F.lit(True).alias("_asked"))
     times = (
-        with_slot(
-            marks.withColumn("_asked", F.lit(False)).unionByName(asked.withColumn("_asked", F.lit(True))).dropna(
-                subset=[*on, "_t"]
-            ),
-            "_t",
-            width_s,
-        )
+        with_slot(marks.unionByName(asked).dropna(subset=[*on, "_t"]), "_t", width_s)
         .repartition(*on, SLOT)
         .groupBy(*on, SLOT, "_t")
-        .agg(F.min("_end").alias("_end"), F.max("_asked").alias("_asked"))
+        .agg(F.max("_asked").alias("_asked"), *[F.min(e).alias(e) for e in ends])
     )
     inside = Window.partitionBy(*on, SLOT).orderBy(F.col("_t").desc()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    found = times.select(*on, SLOT, "_t", "_asked", F.min("_end").over(inside).alias("_end")).where("_asked")
+    found = times.select(*on, SLOT, "_t", "_asked", *[F.min(e).over(inside).alias(e) for e in ends]).where("_asked")
     later = Window.partitionBy(*on).orderBy(F.col(SLOT).desc()).rowsBetween(Window.unboundedPreceding, -1)
     beyond = (
         times.groupBy(*on, SLOT)
-        .agg(F.min("_end").alias("_end"))
-        .select(*on, SLOT, F.min("_end").over(later).alias("_beyond"))
+        .agg(*[F.min(e).alias(e) for e in ends])
+        .select(*on, SLOT, *[F.min(e).over(later).alias(f"{e}_beyond") for e in ends])
     )
-    ends = found.join(beyond, [*on, SLOT], "left").select(
-        *on, F.col("_t").alias(lo), F.least("_end", "_beyond").alias("_end")
+    smallest = found.join(beyond, [*on, SLOT], "left").select(
+        *on, F.col("_t").alias(lo), *[F.least(e, f"{e}_beyond").alias(e) for e in ends]
     )
-    return (
-        windows.join(ends, [*on, lo]).where(F.col("_end") <= F.col(hi)).select(*windows.columns).distinct()
+    held = F.array_compact(
+        F.array(*[F.when(F.col(e) <= F.col(hi), F.lit(name)) for name, e in zip(names, ends, strict=True)])
     )
+    return windows.join(smallest, [*on, lo]).select(*windows.columns, F.explode(held).alias(what)).distinct()

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pathproof.functions import earth_distance_km, fraction_digits, round7, whole_seconds_between
-from pathproof.operators import HOUR, holding, interval_join, neighbours, with_slot
+from pathproof.operators import HOUR, holding_each, interval_join, neighbours, with_slot
 from pathproof.operators.intervals import Range
 from pathproof.operators.slots import SLOT
 from pathproof.plans.measures import ORDER_COLUMNS, PING_FEATURES, distinct_pings, with_measures
@@ -348,9 +348,10 @@ def _whats(rules: Sequence[Rule]) -> list[str]:
 def _hits_by_driver(rows: DataFrame, pings: DataFrame, rules: Sequence[Rule], width_s: int) -> DataFrame:
     """Orders with one row each: does the order's window hold a span of its driver?"""
     spans = rule_spans(pings, "driver_id", rules, width_s=width_s)
-    asked = rows.withColumn("what", F.explode(F.array(*[F.lit(w) for w in _whats(rules)])))
-    windows = asked.select(*GROUP, "what", "_from", "delivery_pickup_time")
-    held = holding(windows, spans, ["driver_id", "what"], "_from", "delivery_pickup_time", width_s=width_s)
+    windows = rows.select(*GROUP, "_from", "delivery_pickup_time")
+    held = holding_each(
+        windows, spans, ["driver_id"], "what", _whats(rules), "_from", "delivery_pickup_time", width_s=width_s
+    )
     return held.select(*GROUP, _code(F.col("what")).alias("code")).distinct()
 
 
@@ -400,24 +401,23 @@ def _without_pardoned(
             for net, name in nets.items()
         ]
     )
-    trips = rows.select(
-        "order_id",
-        "driver_id",
-        "delivery_pickup_time",
-        "delivery_delivered_time",
-        F.explode(F.array(*[F.lit(n) for n in nets.values()])).alias("net"),
+    named = hits.withColumn("net", net_of)
+    # only orders that a rule with a net has hit are looked at again
+    hit = named.where(F.col("net").isNotNull()).select("order_id").distinct()
+    trips = rows.join(hit, "order_id", "left_semi").select(
+        "order_id", "driver_id", "delivery_pickup_time", "delivery_delivered_time"
     )
-    pardoned = holding(
+    pardoned = holding_each(
         trips,
         pardons,
-        ["driver_id", "net"],
+        ["driver_id"],
+        "net",
+        list(nets.values()),
         "delivery_pickup_time",
         "delivery_delivered_time",
         width_s=width_s,
     ).select("order_id", "net")
-    return (
-        hits.withColumn("net", net_of).join(pardoned, ["order_id", "net"], "left_anti").select(*GROUP, "code")
-    )
+    return named.join(pardoned, ["order_id", "net"], "left_anti").select(*GROUP, "code")
 
 
 # ---------------------------------------------------------------- driver-days
