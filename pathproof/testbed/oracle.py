@@ -10,7 +10,6 @@ from pathproof.testbed.frames import VIEWS, sources_of
 
 # Fixed values, written out here: nothing is taken from the code that the statements check.
 PER_CLASS = 40
-NARROW_CODES = ("006", "008", "010", "016", "115", "215")
 ACCURACY_ROW = "ping_time, upload_time, accuracy"
 FULL_ROW = "ping_time, upload_time, latitude, longitude, speed_kmh, accuracy, head"
 SPEED_GROUPS = ("0.36, 3.6", "0.72, 7.2", "10.8")
@@ -352,11 +351,7 @@ for _code in CODES:
 
 _ALL = " union all ".join(f"select {_GROUP}, code, cnt, flagged from ({_flagged(c)})" for c in CODES)
 _add("all_rules", _ALL, **_SEEN)
-_add(
-    "rules_per_query",
-    " union all ".join(f"select {_GROUP}, code, cnt, flagged from ({_flagged(c)})" for c in NARROW_CODES),
-    **_SEEN,
-)
+_add("rules_per_query", _ALL, **_SEEN)
 
 _REPEATED = """select * from trips union all
   select * replace (delivery_assign_time + interval 20 hours as delivery_assign_time) from trips where order_id % 3 = 0"""
@@ -427,10 +422,7 @@ _PARSED = """select *, case when json_type(entities, '$.DFPInfoSZ.tags') = 'ARRA
 _add(
     "risk_tag_flags",
     "select user_id, grass_date, "
-    + ", ".join(
-        f"count(case when list_contains(tags, '{t}') then 1 end) as {t}"
-        for t in ("is_repack", "is_fake_df", "is_running_magisk")
-    )
+    + ", ".join(f"count(case when list_contains(tags, '{t}') then 1 end) as {t}" for t in TAMPERED_APP_TAGS)
     + ", count(case when sync_event_hit_result = 'B00' then 1 end) as is_blocked from parsed group by 1, 2",
     parsed=_PARSED,
 )
@@ -488,7 +480,7 @@ _DAYS = """select report_date, cast(year_week as int) as year_week, first_day_of
     cast(year_month as int) as year_month, first_day_of_month, last_day_of_month,
     cast(num_day_in_month as int) as num_day_in_month from cal"""
 _add("calendar", _DAYS, cal=_CALENDAR)
-_add("calendar_with_gaps", _DAYS, few="select * from ev where event_id % 500 = 7", cal=_calendar("few"))
+_add("calendar_with_gaps", _DAYS, few="select date_trunc('week', ts) as ts from ev", cal=_calendar("few"))
 _KNOWN = "where report_date between date '2024-01-01' and date '2024-01-24'"
 _LAST = "date '2024-01-24'"
 _PERIODS = f"""select distinct '1. Daily' as period_grp, cast(report_date as varchar) as period, report_date as start_date,
@@ -737,8 +729,9 @@ _FACTS = ORACLES["order_facts_union"]
 _PAIRS = ORACLES["accept_pairs"]
 
 
-def _add_paired(name: str, body: str) -> None:
-    ORACLES[name] = f"with facts as ({_FACTS}), latest_pairs as ({_PAIRS}), paired as ({_PAIRED}) {body}"
+def _add_paired(name: str, body: str, exact: str = "select * from paired") -> None:
+    ORACLES[name] = f"""with facts as ({_FACTS}), latest_pairs as ({_PAIRS}), paired as ({_PAIRED}),
+      exact as ({exact}) {body}"""
 
 
 _add_paired(
@@ -749,6 +742,25 @@ _add_paired(
       ('accept_latitude', 'accept_longitude', 'store_latitude', 'store_longitude'))}
       and accept_latitude = store_latitude and accept_longitude = store_longitude)""",
 )
+_add_paired(
+    "id_rule_004",
+    f"""select distinct {', '.join('o.' + c.strip() for c in _GROUP.split(','))}, cnt as cnt_004, 1 as dsys004,
+      o.order_date as grass_date from exact o join (
+        select cast(create_time as date) as day, driver_id, accept_latitude, accept_longitude,
+          count(distinct order_id) as cnt from exact group by all) d
+      on o.order_date = d.day and o.driver_id = d.driver_id and o.accept_latitude = d.accept_latitude
+        and o.accept_longitude = d.accept_longitude""",
+    f"""select * replace ({_seven('accept_latitude')} as accept_latitude, {_seven('accept_longitude')} as accept_longitude)
+      from paired where {' and '.join(f'{_digits(_seven(x))} = 7' for x in ('accept_latitude', 'accept_longitude'))}""",
+)
+_add(
+    "id_all_rules",
+    _ALL,
+    facts="select * replace (cast(order_id as varchar) as order_id, cast(driver_id as varchar) as driver_id) from trips",
+    texts="select * replace (cast(driver_id as varchar) as driver_id) from pings",
+    before=_phase(*_BEFORE, "facts", "texts"),
+    middle=_phase(*_MIDDLE, "facts", "texts"),
+)
 ORACLES["id_rule_app"] = f"""with orders_of as ({_FACTS}), suspects as (
     with ev as ({_BASE['ev']}), risk_events as ({VIEWS['risk_events']}), parsed as ({_PARSED}) {_SUSPECT})
   select distinct {_GROUP}, 1 as is_proxy_autoblock, order_date as grass_date from orders_of o

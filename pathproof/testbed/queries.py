@@ -210,13 +210,10 @@ def _all_rules(orders, pings):
 _add("all_rules", "trips", "pings")(_all_rules)
 
 
-NARROW_CODES = ("006", "008", "010", "016", "115", "215")
-
-
 @_add("rules_per_query", "trips", "pings")
 def _(orders, pings):
-    some = [NEAR_JUMP if c == "006" else rules.RULES[c] for c in NARROW_CODES]
-    return rules.run_rules(orders, pings, some, narrow=True, one_row_per_order=True, width_s=DAY)
+    every = [NEAR_JUMP if c == "006" else r for c, r in rules.RULES.items()]
+    return rules.run_rules(orders, pings, every, narrow=True, one_row_per_order=True, width_s=DAY)
 
 
 @_add("rules_on_repeated_rows", "trips", "pings")
@@ -269,9 +266,9 @@ def _(orders, pings):
 
 @_add("risk_tag_flags", "risk_events")
 def _(events):
-    flags = tags.risk_tag_flags(events, ("is_repack", "is_fake_df", "is_running_magisk"))
+    flags = tags.risk_tag_flags(events)
     return flags.groupBy("user_id", "grass_date").agg(
-        *[F.count_if(c).alias(c) for c in ("is_repack", "is_fake_df", "is_running_magisk", "is_blocked")]
+        *[F.count_if(c).alias(c) for c in (*tags.TAMPERED_APP_TAGS, "is_blocked")]
     )
 
 
@@ -340,7 +337,8 @@ def _(tagged):
 
 @_add("calendar_with_gaps", "ev")
 def _(events):
-    return reports.calendar(events.where("event_id % 500 = 7"), "ts")
+    """Only Mondays occur; the days between them come all the same."""
+    return reports.calendar(events.withColumn("ts", F.date_trunc("week", "ts")), "ts")
 
 
 @_add("bad_debt_cases", "bad_debt")
@@ -474,6 +472,21 @@ def _(food, parcels, pairs):
     return rules.accept_at_store(_paired(food, parcels, pairs))
 
 
+@_add("id_rule_004", "food_versions", "parcels", "pair_log")
+def _(food, parcels, pairs):
+    """Orders are years apart here, so a point counts from its first order on."""
+    return rules.accept_point_repeated(_paired(food, parcels, pairs), at_least=1)
+
+
+@_add("id_all_rules", "trips", "pings")
+def _(orders, pings):
+    """All rules of the region of self-contained queries: ids are texts, pings distinct in what a rule reads."""
+    every = [NEAR_JUMP if c == "006" else r for c, r in rules.RULES.items()]
+    orders = orders.withColumns({c: F.col(c).cast("string") for c in ("order_id", "driver_id")})
+    pings = pings.withColumn("driver_id", F.col("driver_id").cast("string"))
+    return rules.run_rules(orders, pings, every, narrow=True, one_row_per_order=True, width_s=DAY)
+
+
 @_add("id_rule_app", "food_versions", "parcels", "risk_events")
 def _(food, parcels, events):
     orders = features.order_facts_versioned(food, parcels, PARCEL_SERVICES)
