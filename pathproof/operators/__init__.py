@@ -1,5 +1,5 @@
 from pathproof.operators.asof import asof_lookup
-from pathproof.operators.intervals import holding, holding_each, interval_join
+from pathproof.operators.intervals import holding, holding_each, interval_join, smallest_ends
 from pathproof.operators.latest import latest_by
 from pathproof.operators.neighbours import neighbours
 from pathproof.operators.sampling import pick_per_class
@@ -17,5 +17,6 @@ __all__ = [
     "neighbours",
     "pick_per_class",
     "slot",
+    "smallest_ends",
     "with_slot",
 ]

@@ -43,19 +43,21 @@ def interval_join(
     (key, slot), so a driver with a third of all pings is spread over as many
     groups as there are slots, and no pair outside a shared slot is compared.
     ``within`` cuts spans to the range of the scanned points; a span with a broken
-    start time then cannot unfold over decades.
+    start time then cannot unfold over decades. ``points`` that have a slot column of this
+    width keep it, and with it their partitioning.
 
     ``how="left"`` keeps spans without a point. It is an inner join plus the spans it did
     not reach, compared in all their columns: a plain outer join would return one empty
     row per slot.
     """
+    slotted = points if SLOT in points.columns else with_slot(points, time, width_s)
     inner = (
         _unfold(spans, lo, hi, width_s, within)
-        .join(with_slot(points, time, width_s), [key, SLOT])
+        .join(slotted, [key, SLOT])
         .where(F.col(time).between(F.col(lo), F.col(hi)))
         .drop(SLOT)
     )
-    columns = spans.columns + [c for c in points.columns if c != key]
+    columns = spans.columns + [c for c in points.columns if c not in (key, SLOT)]
     inner = inner.select(*columns)
     if how == "inner":
         return inner
@@ -63,7 +65,7 @@ def interval_join(
     same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in spans.columns])
     empty = spans.join(reached, same, "left_anti").select(
         *spans.columns,
-        *[F.lit(None).cast(points.schema[c].dataType).alias(c) for c in points.columns if c != key],
+        *[F.lit(None).cast(points.schema[c].dataType).alias(c) for c in columns[len(spans.columns) :]],
     )
     return inner.unionByName(empty)
 
@@ -101,41 +103,56 @@ def holding_each(
     """Distinct ``windows`` with the column ``what``: a row for each of ``names`` of which they hold a span.
 
     A window holds a span exactly when the smallest end among the spans that start at or
-    after ``lo`` is at most ``hi``. That end is a running minimum, taken backwards in time:
-    inside each (keys, slot), and over one summary row per (keys, slot) for the later ones.
-    There is one running minimum for each name, all over the same rows: a window asks once,
-    whatever the number of names. Windows are not unfolded into slots, so a broken time costs
-    nothing, and no window is compared with more than one number of each name.
+    after ``lo`` is at most ``hi``, see ``smallest_ends``.
     """
     ends = [f"_end{i}" for i in range(len(names))]
     marks = spans.where(F.col(what).isin(*names)).select(
+        *on, start, *[F.when(F.col(what) == name, F.col(end)).alias(e) for name, e in zip(names, ends, strict=True)]
+    )
+    held = F.array_compact(
+        F.array(*[F.when(F.col(e) <= F.col(hi), F.lit(name)) for name, e in zip(names, ends, strict=True)])
+    )
+    asked = smallest_ends(windows, marks, on, ends, lo, start, width_s)
+    return asked.select(*windows.columns, F.explode(held).alias(what)).distinct()
+
+
+def smallest_ends(
+    windows: DataFrame, marks: DataFrame, on: Sequence[str], ends: Sequence[str], lo: str, start: str, width_s: int = HOUR
+) -> DataFrame:
+    """``windows`` with the smallest of each of ``ends`` among the ``marks`` whose ``start`` is ``lo`` or later.
+
+    Null where there is no such mark; null keys and times match nothing, and all rows of
+    ``windows`` stay. It is a running minimum, taken backwards in time: inside each (keys,
+    slot), and over one summary row per (keys, slot) for the later ones. There is one for
+    each of ``ends``, all over the same rows, among which the windows stand themselves:
+    they are not unfolded into slots, so a broken time costs nothing, and no window is
+    compared with more than one number of each kind.
+    """
+    asked = windows.select(
         *on,
-        F.col(start).alias("_t"),
-        *[F.when(F.col(what) == name, F.col(end)).alias(e) for name, e in zip(names, ends, strict=True)],
-        F.lit(False).alias("_asked"),
+        F.col(lo).alias("_t"),
+        *[F.lit(None).cast(marks.schema[e].dataType).alias(e) for e in ends],
+        F.struct(*windows.columns).alias("_window"),
     )
-    nothing = [F.lit(None).cast(spans.schema[end].dataType).alias(e) for e in ends]
-    asked = windows.select(*on, F.col(lo).alias("_t"), *nothing, F.lit(True).alias("_asked"))
-    times = (
-        with_slot(marks.unionByName(asked).dropna(subset=[*on, "_t"]), "_t", width_s)
-        .repartition(*on, SLOT)
-        .groupBy(*on, SLOT, "_t")
-        .agg(F.max("_asked").alias("_asked"), *[F.min(e).alias(e) for e in ends])
+    marked = marks.select(
+        *on, F.col(start).alias("_t"), *ends, F.lit(None).cast(asked.schema["_window"].dataType).alias("_window")
     )
-    inside = Window.partitionBy(*on, SLOT).orderBy(F.col("_t").desc()).rowsBetween(
+    rows = with_slot(marked.dropna(subset=[*on, "_t"]).unionByName(asked), "_t", width_s)
+    # windows without a time have no slot: they need not meet, and must not be one group
+    apart = F.when(F.col(SLOT).isNull(), F.xxhash64("_window"))
+    inside = Window.partitionBy(*on, SLOT, apart).orderBy(F.col("_t").desc()).rangeBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    found = times.select(*on, SLOT, "_t", "_asked", *[F.min(e).over(inside).alias(e) for e in ends]).where("_asked")
+    found = rows.select(*on, SLOT, "_window", *[F.min(e).over(inside).alias(e) for e in ends])
     later = Window.partitionBy(*on).orderBy(F.col(SLOT).desc()).rowsBetween(Window.unboundedPreceding, -1)
     beyond = (
-        times.groupBy(*on, SLOT)
+        rows.where(F.col(SLOT).isNotNull())
+        .groupBy(*on, SLOT)
         .agg(*[F.min(e).alias(e) for e in ends])
         .select(*on, SLOT, *[F.min(e).over(later).alias(f"{e}_beyond") for e in ends])
     )
-    smallest = found.join(beyond, [*on, SLOT], "left").select(
-        *on, F.col("_t").alias(lo), *[F.least(e, f"{e}_beyond").alias(e) for e in ends]
-    )
-    held = F.array_compact(
-        F.array(*[F.when(F.col(e) <= F.col(hi), F.lit(name)) for name, e in zip(names, ends, strict=True)])
+    return (
+        found.where(F.col("_window").isNotNull())
+        .join(beyond, [*on, SLOT], "left")
+        .select("_window.*", *[F.least(e, f"{e}_beyond").alias(e) for e in ends])
     )
-    return windows.join(smallest, [*on, lo]).select(*windows.columns, F.explode(held).alias(what)).distinct()

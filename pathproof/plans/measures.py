@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pathproof.functions import fraction_digits
+from pathproof.operators.slots import SLOT, with_slot
 
 # What makes two pings of one order different, apart from the order itself.
 # Columns a source does not have are left out.
@@ -55,17 +56,28 @@ def with_measures(pings: DataFrame) -> DataFrame:
     return pings.withColumns(missing) if missing else pings
 
 
-def distinct_pings(pings: DataFrame, features: Sequence[str] | None = None) -> DataFrame:
+def distinct_pings(
+    pings: DataFrame, features: Sequence[str] | None = None, width_s: int | None = None
+) -> DataFrame:
     """Distinct feature rows of each driver, with their measures.
 
     The feature tables are distinct by definition. Doing it here, before pings meet
     orders, gives the same rows, moves narrower ones, and lets copies melt away before
     the shuffle. ``features`` narrows what counts as different: the feature tables of one
     region keep every ping column, the per-rule queries of the other the few they read.
+
+    With ``width_s`` rows have a slot of that width and are partitioned by driver and slot:
+    one shuffle, which all that looks along a driver's time then shares.
     """
     chosen = list(features or PING_FEATURES)
     if any(m in chosen and m not in pings.columns for m in MEASURES):
         pings = with_measures(pings)
     stored = [m for m, (column, _) in _MEASURES.items() if column in chosen and m not in chosen]
     columns = ["driver_id", *[c for c in (*chosen, *stored) if c in pings.columns]]
-    return with_measures(pings.select(*columns).dropna(subset=["driver_id", "ping_time"]).distinct())
+    rows = pings.select(*columns).dropna(subset=["driver_id", "ping_time"])
+    return with_measures((rows if width_s is None else in_slots(rows, width_s)).distinct())
+
+
+def in_slots(pings: DataFrame, width_s: int) -> DataFrame:
+    """``pings`` with a slot, partitioned by driver and slot."""
+    return with_slot(pings, "ping_time", width_s).repartition("driver_id", SLOT)

@@ -22,10 +22,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pathproof.functions import earth_distance_km, fraction_digits, round7, whole_seconds_between
-from pathproof.operators import HOUR, holding_each, interval_join, neighbours, with_slot
+from pathproof.operators import HOUR, holding_each, interval_join, neighbours, smallest_ends, with_slot
 from pathproof.operators.intervals import Range
 from pathproof.operators.slots import SLOT
-from pathproof.plans.measures import ORDER_COLUMNS, PING_FEATURES, distinct_pings, with_measures
+from pathproof.plans.measures import ORDER_COLUMNS, PING_FEATURES, distinct_pings, in_slots, with_measures
 
 GROUP = ("order_date", "order_id", "driver_id", "service_type")
 
@@ -133,9 +133,8 @@ def run_spans(
     time = _unique("ping_time", "upload_time", *about)
     matches = [f"_m{r.code}" for r in rules]
     rows = (
-        with_slot(pings, "ping_time", width_s)
+        _slotted(pings, key, width_s)
         .select(key, SLOT, *identity, *[F.expr(r.match).cast("int").alias(m) for r, m in zip(rules, matches)])
-        .repartition(key, SLOT)
         .groupBy(key, SLOT, *identity)
         .agg(*[F.sum(m).alias(m) for m in matches])
         .groupBy(key, SLOT, *time)
@@ -177,6 +176,11 @@ def run_spans(
     )
 
 
+def _slotted(pings: DataFrame, key: str, width_s: int) -> DataFrame:
+    """``pings`` with a slot; those that have one are partitioned by key and slot already."""
+    return pings if SLOT in pings.columns else with_slot(pings, "ping_time", width_s).repartition(key, SLOT)
+
+
 def _packed(matches: Sequence[str]) -> Column:
     lanes = [
         F.shiftleft(F.least(F.coalesce(F.col(m), F.lit(0)), F.lit(_TOO_MANY)).cast("bigint"), _BITS * i)
@@ -197,7 +201,8 @@ def speed_spans(
         *[F.when(F.col("speed_kmh").isin(*s), F.lit(f"{rule.code}.{i}")) for i, s in enumerate(rule.speeds)]
     )
     order = _unique(*_present(pings, FULL_ROW), *about)
-    rows = pings.select(key, group.alias("what"), *order).where(F.col("what").isNotNull()).distinct()
+    slotted = pings if SLOT in pings.columns else with_slot(pings, "ping_time", width_s)
+    rows = slotted.select(key, SLOT, group.alias("what"), *order).where(F.col("what").isNotNull()).distinct()
     looked = neighbours(
         rows,
         [key, "what", *[c for c in about if c in GROUP]],
@@ -225,7 +230,7 @@ def jumps(
     distance = earth_distance_km(*[F.col(c).cast("double") for c in here_and_next])
     gap = whole_seconds_between("ping_time", "next_time")
     return neighbours(
-        pings.select(key, *order),
+        pings.select(key, *[c for c in (SLOT,) if c in pings.columns], *order),
         [key],
         order,
         1,
@@ -254,6 +259,8 @@ def rule_spans(
 ) -> DataFrame:
     """Spans of all ``rules`` in one frame; run rules over the same rows share one pass.
 
+    ``pings`` that have a slot (``distinct_pings``) are shuffled for none of the passes.
+
     ``what`` is the rule code, for speed rules followed by the speed group.
     """
     parts = []
@@ -298,7 +305,7 @@ def order_hits(
             [
                 order_hits(
                     orders,
-                    distinct_pings(pings, features),
+                    distinct_pings(pings, features, width_s),
                     some,
                     pad,
                     one_row_per_order=one_row_per_order,
@@ -312,18 +319,20 @@ def order_hits(
     rows = orders.select(*ORDER_COLUMNS).withColumn(
         "_from", F.col("delivery_assign_time") - F.expr(f"interval {pad}")
     )
-    feature_rows = with_measures(pings) if pings_are_distinct else distinct_pings(pings)
+    feature_rows = (
+        with_measures(_in_slots_once(pings, width_s)) if pings_are_distinct else distinct_pings(pings, width_s=width_s)
+    )
     if one_row_per_order:
-        hits = _hits_by_driver(rows, feature_rows, rules, width_s)
-    else:
-        rows = rows.distinct()
-        repeated = rows.groupBy("order_id").count().where("count > 1").select("order_id")
-        hits = _hits_by_driver(
-            rows.join(repeated, "order_id", "left_anti"), feature_rows, rules, width_s
-        ).unionByName(
-            _hits_by_order(rows.join(repeated, "order_id", "left_semi"), feature_rows, rules, width_s, within)
-        )
-    return _without_pardoned(hits, rows, feature_rows, rules, width_s)
+        return _hits_by_driver(rows, feature_rows, rules, width_s)
+    # Rows without an order number are told apart by their driver, so that they are not one group.
+    unnamed = F.when(F.col("order_id").isNull(), F.xxhash64("driver_id", "_from"))
+    counted = rows.distinct().withColumn("_unnamed", unnamed)
+    counted = counted.withColumn("_rows", F.count(F.lit(1)).over(Window.partitionBy("order_id", "_unnamed")))
+    repeated = F.col("order_id").isNotNull() & (F.col("_rows") > 1)
+    single, several = (counted.where(c).drop("_unnamed", "_rows") for c in (~repeated, repeated))
+    return _hits_by_driver(single, feature_rows, rules, width_s).unionByName(
+        _hits_by_order(several, feature_rows, rules, width_s, within)
+    )
 
 
 def _code(what: Column) -> Column:
@@ -345,14 +354,53 @@ def _whats(rules: Sequence[Rule]) -> list[str]:
     ]
 
 
+def _in_slots_once(pings: DataFrame, width_s: int) -> DataFrame:
+    return pings if SLOT in pings.columns else in_slots(pings, width_s)
+
+
 def _hits_by_driver(rows: DataFrame, pings: DataFrame, rules: Sequence[Rule], width_s: int) -> DataFrame:
-    """Orders with one row each: does the order's window hold a span of its driver?"""
+    """Orders with one row each: does the order's window hold a span of its driver, and its trip no pardon?
+
+    The rows of hits ask for pardons themselves, so that no trip without a hit is looked at.
+    """
+    whats = _whats(rules)
+    ends = [f"_end{i}" for i in range(len(whats))]
     spans = rule_spans(pings, "driver_id", rules, width_s=width_s)
-    windows = rows.select(*GROUP, "_from", "delivery_pickup_time")
-    held = holding_each(
-        windows, spans, ["driver_id"], "what", _whats(rules), "_from", "delivery_pickup_time", width_s=width_s
+    marks = spans.select(
+        "driver_id", "start", *[F.when(F.col("what") == what, F.col("end")).alias(e) for what, e in zip(whats, ends)]
+    )
+    windows = rows.select(*GROUP, "_from", "delivery_pickup_time", "delivery_delivered_time")
+    codes = F.array_compact(
+        F.array(
+            *[
+                F.when(F.col(e) <= F.col("delivery_pickup_time"), F.lit(what.partition(".")[0]))
+                for what, e in zip(whats, ends)
+            ]
+        )
     )
-    return held.select(*GROUP, _code(F.col("what")).alias("code")).distinct()
+    hits = smallest_ends(windows, marks, ["driver_id"], ends, "_from", "start", width_s).select(
+        *windows.columns, F.explode(F.array_distinct(codes)).alias("code")
+    )
+    nets = _nets(rules)
+    if nets:
+        pardons = [f"_pardon{i}" for i in range(len(nets))]
+        caught = _pardons(pings, nets).select(
+            "driver_id",
+            "ping_time",
+            *[F.when(F.col(f"net{i}"), F.col("ping_time")).alias(p) for i, p in enumerate(pardons)],
+        )
+        asked = smallest_ends(
+            hits, caught, ["driver_id"], pardons, "delivery_pickup_time", "ping_time", width_s
+        )
+        pardoned = reduce(
+            lambda a, b: a | b,
+            [
+                F.col("code").isin(codes) & (F.col(p) <= F.col("delivery_delivered_time"))
+                for p, codes in zip(pardons, nets.values())
+            ],
+        )
+        hits = asked.where(~(F.col("order_id").isNotNull() & F.coalesce(pardoned, F.lit(False))))
+    return hits.select(*GROUP, "code").distinct()
 
 
 def _hits_by_order(
@@ -373,51 +421,48 @@ def _hits_by_order(
         )
         if some
     ]
-    return reduce(DataFrame.unionByName, found).distinct()
+    return _without_pardoned(reduce(DataFrame.unionByName, found).distinct(), rows, pings, rules, width_s)
+
+
+def _nets(rules: Sequence[Rule]) -> dict[str, list[str]]:
+    """Codes of the rules that share each net."""
+    return {net: [r.code for r in rules if r.net == net] for net in _unique(*[r.net for r in rules if r.net])}
+
+
+def _pardons(pings: DataFrame, nets: Iterable[str]) -> DataFrame:
+    """(driver_id, ping_time, net0, net1, …) of the pings that any net catches."""
+    caught = [F.coalesce(F.expr(net), F.lit(False)).alias(f"net{i}") for i, net in enumerate(nets)]
+    any_net = reduce(lambda a, b: a | b, [F.col(f"net{i}") for i in range(len(caught))])
+    return pings.select("driver_id", "ping_time", *caught).where(any_net)
 
 
 def _without_pardoned(
-    hits: DataFrame,
-    rows: DataFrame,
-    pings: DataFrame,
-    rules: Sequence[Rule],
-    width_s: int,
+    hits: DataFrame, rows: DataFrame, pings: DataFrame, rules: Sequence[Rule], width_s: int
 ) -> DataFrame:
-    """Take back hits of orders with a pardoning ping between pickup and delivery."""
-    nets = {net: f"net{i}" for i, net in enumerate(_unique(*[r.net for r in rules if r.net]))}
+    """Take back hits of orders with a pardoning ping on the trip of any of their rows."""
+    nets = _nets(rules)
     if not nets:
         return hits
-    pardons = pings.select(
+    names = [f"net{i}" for i in range(len(nets))]
+    pardons = _pardons(pings, nets).select(
         "driver_id",
-        F.explode(
-            F.array_compact(F.array(*[F.when(F.expr(net), F.lit(name)) for net, name in nets.items()]))
-        ).alias("net"),
+        F.explode(F.array_compact(F.array(*[F.when(F.col(n), F.lit(n)) for n in names]))).alias("net"),
         F.col("ping_time").alias("start"),
         F.col("ping_time").alias("end"),
     )
-    net_of = F.coalesce(
-        *[
-            F.when(F.col("code").isin([r.code for r in rules if r.net == net]), F.lit(name))
-            for net, name in nets.items()
-        ]
-    )
-    named = hits.withColumn("net", net_of)
-    # only orders that a rule with a net has hit are looked at again
-    hit = named.where(F.col("net").isNotNull()).select("order_id").distinct()
-    trips = rows.join(hit, "order_id", "left_semi").select(
-        "order_id", "driver_id", "delivery_pickup_time", "delivery_delivered_time"
-    )
+    net_of = F.coalesce(*[F.when(F.col("code").isin(codes), F.lit(n)) for n, codes in zip(names, nets.values())])
+    trips = rows.select("order_id", "driver_id", "delivery_pickup_time", "delivery_delivered_time")
     pardoned = holding_each(
         trips,
         pardons,
         ["driver_id"],
         "net",
-        list(nets.values()),
+        names,
         "delivery_pickup_time",
         "delivery_delivered_time",
         width_s=width_s,
     ).select("order_id", "net")
-    return named.join(pardoned, ["order_id", "net"], "left_anti").select(*GROUP, "code")
+    return hits.withColumn("net", net_of).join(pardoned, ["order_id", "net"], "left_anti").select(*GROUP, "code")
 
 
 # ---------------------------------------------------------------- driver-days
