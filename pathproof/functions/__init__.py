@@ -1,4 +1,5 @@
 from pathproof.functions.columns import (
+    double_fraction_digits,
     earth_distance_km,
     fraction_digits,
     json_scalar,
@@ -14,6 +15,7 @@ from pathproof.functions.columns import (
 )
 
 __all__ = [
+    "double_fraction_digits",
     "earth_distance_km",
     "fraction_digits",
     "json_scalar",

@@ -43,6 +43,22 @@ def _digits_of_text(text: Column) -> Column:
     return F.when(finite, F.greatest(F.lit(0), digits - exponent)).cast("bigint")
 
 
+def double_fraction_digits(x: Column | str) -> Column:
+    """``fraction_digits`` of a double, without a lambda wherever its digits fit a decimal of 18 places.
+
+    A double's text has at most 17 significant digits, so from 0.01 on none lies beyond the
+    18th place. All else (tiny, huge, not a number) takes the general way.
+    """
+    c = _col(x)
+    plain = F.abs(c).between(0.01, 1e15)
+    places = F.split_part(F.when(plain, c).cast("decimal(38,18)").cast("string"), F.lit("."), F.lit(2))
+    return (
+        F.when(plain, F.length(F.rtrim(places, F.lit("0"))).cast("bigint"))
+        .when(c == 0, F.lit(0).cast("bigint"))
+        .otherwise(fraction_digits(c))
+    )
+
+
 def round7(x: Column | str) -> Column:
     """Round to 7 decimals, but only a coordinate that carries more than 7."""
     return F.transform(F.array(_col(x)), lambda c: F.when(fraction_digits(c) > 7, F.round(c, 7)).otherwise(c))[0]

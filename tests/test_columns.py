@@ -1,3 +1,4 @@
+import random
 from datetime import datetime
 from decimal import Decimal
 
@@ -5,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pathproof.functions import (
+    double_fraction_digits,
     earth_distance_km,
     fraction_digits,
     json_scalar,
@@ -114,3 +116,14 @@ def test_json(spark):
     assert one(spark, json_scalar(doc, "$.D.n")) == "5"
     assert one(spark, json_scalar(doc, "$.D.none")) is None
     assert one(spark, json_scalar(F.lit("not json"), "$.D")) is None
+
+
+def test_digits_of_doubles_equal_digits_of_their_text(spark):
+    rng = random.Random(5)
+    edges = [0.0, -0.0, 0.01, 0.009999999999999998, 1e-3, 9.999e-4, 5e-324, 1e15, 1e15 + 1, 1e22, 1.7e308, 0.1 + 0.2]
+    edges += [float("nan"), float("inf"), float("-inf"), 0.012345678901234568, 123456789.12345679, 3.9600000000000004, None]
+    some = [rng.choice((-1, 1)) * rng.random() * 10 ** rng.randint(-12, 18) for _ in range(4000)]
+    some += [round(rng.random() * 200, rng.randint(0, 9)) for _ in range(4000)]
+    df = spark.createDataFrame([(x,) for x in edges + some], "x double")
+    got = df.select("x", double_fraction_digits("x").alias("fast"), fraction_digits("x").alias("plain"))
+    assert got.where("not fast <=> plain").collect() == []
