@@ -69,5 +69,9 @@ def test_a_run_rule_shuffles_pings_by_driver_and_slot_only(spark):
     assert not [n for n in names if n in ("driver_id", "order_id")]
 
 
+def test_a_rule_repeats_its_inputs_few_times(spark):
+    assert plan_of(spark, "rule_115").count("FileScan") <= 24
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() == 28
