@@ -3,13 +3,14 @@ from pathproof.operators.intervals import holding, holding_each, interval_join,
 from pathproof.operators.latest import latest_by
 from pathproof.operators.neighbours import neighbours
 from pathproof.operators.sampling import pick_per_class
-from pathproof.operators.slots import DAY, HOUR, MINUTE, slot, with_slot
+from pathproof.operators.slots import DAY, HOUR, MINUTE, beyond_slots, slot, with_slot
 
 __all__ = [
     "DAY",
     "HOUR",
     "MINUTE",
     "asof_lookup",
+    "beyond_slots",
     "holding",
     "holding_each",
     "interval_join",

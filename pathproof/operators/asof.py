@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pathproof.operators.slots import HOUR, SLOT, with_slot
+from pathproof.operators.slots import HOUR, SLOT, beyond_slots, with_slot
 
 
 def asof_lookup(
@@ -30,8 +30,8 @@ def asof_lookup(
 
     No probe is paired with more than one point. Probes and points are first reduced
     to one row per (key, time), which also melts away copies. A window per
-    (key, slot) finds the neighbour inside the slot; the one beyond comes from a
-    window over one summary row per (key, slot).
+    (key, slot) finds the neighbour inside the slot; the one beyond comes from
+    summaries of slots (``beyond_slots``).
 
     With ``look_back_s`` only points at most that many seconds away need be found (others
     may be). Slots are then at least that wide, the neighbour beyond lies in the next slot
@@ -78,11 +78,11 @@ def asof_lookup(
             *keys, (F.col(SLOT) + (-1 if forward else 1)).alias(SLOT), *[F.col(n).alias(f"_beyond_{n}") for n in names]
         )
     else:
-        by_slot = F.col(SLOT).desc() if forward else F.col(SLOT).asc()
-        earlier = Window.partitionBy(*keys).orderBy(by_slot).rowsBetween(Window.unboundedPreceding, -1)
-        beyond = summary.select(
-            *keys, SLOT, *[F.last(n, ignorenulls=True).over(earlier).alias(f"_beyond_{n}") for n in names]
+        dated = summary.select(
+            *keys, SLOT, *[F.when(F.col(n).isNotNull(), F.struct(SLOT, F.col(n).alias("value"))).alias(n) for n in names]
         )
+        beyond = beyond_slots(dated, keys, names, smallest=forward, later=forward)
+        beyond = beyond.select(*keys, SLOT, *[F.col(f"{n}.value").alias(f"_beyond_{n}") for n in names])
     answers = found.join(beyond, [*keys, SLOT], "left").select(
         *keys, F.col("_t").alias(at), *[F.coalesce(F.col(n), F.col(f"_beyond_{n}")).alias(n) for n in names]
     )

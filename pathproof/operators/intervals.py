@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pathproof.operators.slots import HOUR, SLOT, slot, with_slot
+from pathproof.operators.slots import HOUR, SLOT, beyond_slots, slot, with_slot
 
 
 Range = tuple[datetime, datetime]
@@ -123,8 +123,7 @@ def smallest_ends(
 
     Null where there is no such mark; null keys and times match nothing, and all rows of
     ``windows`` stay. It is a running minimum, taken backwards in time: inside each (keys,
-    slot), and over one summary row per (keys, slot) for the later ones. There is one for
-    each of ``ends``, all over the same rows, among which the windows stand themselves:
+    slot), and over summaries of slots for the later ones. There is one for each of ``ends``, all over the same rows, among which the windows stand themselves:
     they are not unfolded into slots, so a broken time costs nothing, and no window is
     compared with more than one number of each kind.
     """
@@ -144,13 +143,8 @@ def smallest_ends(
         Window.unboundedPreceding, Window.currentRow
     )
     found = rows.select(*on, SLOT, "_window", *[F.min(e).over(inside).alias(e) for e in ends])
-    later = Window.partitionBy(*on).orderBy(F.col(SLOT).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    beyond = (
-        rows.where(F.col(SLOT).isNotNull())
-        .groupBy(*on, SLOT)
-        .agg(*[F.min(e).alias(e) for e in ends])
-        .select(*on, SLOT, *[F.min(e).over(later).alias(f"{e}_beyond") for e in ends])
-    )
+    summary = rows.where(F.col(SLOT).isNotNull()).groupBy(*on, SLOT).agg(*[F.min(e).alias(e) for e in ends])
+    beyond = beyond_slots(summary, on, ends, smallest=True, later=True).withColumnsRenamed({e: f"{e}_beyond" for e in ends})
     return (
         found.where(F.col("_window").isNotNull())
         .join(beyond, [*on, SLOT], "left")

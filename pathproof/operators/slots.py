@@ -7,7 +7,9 @@ the rows per group are bounded by the width and not by the history of the key.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +19,9 @@ DAY = 86400
 
 SLOT = "_slot"
 
+#: Slots that one summary of slots holds, as a power of two: 1,024 hours are six weeks.
+FAN_BITS = 10
+
 
 def _seconds(df: DataFrame, time: str) -> Column:
     c = F.col(time)
@@ -38,3 +43,40 @@ def slot(df: DataFrame, time: str, width_s: int) -> Column:
 
 def with_slot(df: DataFrame, time: str, width_s: int) -> DataFrame:
     return df.withColumn(SLOT, slot(df, time, width_s))
+
+
+def beyond_slots(
+    summary: DataFrame, keys: Sequence[str], names: Sequence[str], smallest: bool, later: bool, fan_bits: int = FAN_BITS
+) -> DataFrame:
+    """(keys, slot, ``names``): the smallest or largest of each of ``names`` in all ``later`` (or all earlier) slots.
+
+    ``summary`` has one row per (keys, slot); a column is null where no such slot has a value. No
+    group holds a key's history: 2 ** ``fan_bits`` slots make a block, whose rows have a window of
+    their own, and only one row for each block meets the other blocks of its key. Slots and blocks are
+    rows of one frame, told apart by their level, so that ``summary`` is made once and joined with nothing.
+    """
+    merge, pick = (F.min, F.least) if smallest else (F.max, F.greatest)
+    slots, blocks = F.lit(0), F.lit(1)
+    is_slot = F.col("_level") == slots
+    levels = (
+        summary.withColumn("_level", F.explode(F.array(slots, blocks)))
+        .withColumn("_place", F.when(is_slot, F.col(SLOT)).otherwise(F.shiftright(SLOT, fan_bits)))
+        .groupBy(*keys, "_level", "_place")
+        .agg(*[merge(n).alias(n) for n in names])
+    )
+    block = F.shiftright("_place", fan_bits)
+    order = F.col("_place").desc() if later else F.col("_place").asc()
+    among = (
+        Window.partitionBy(*keys, "_level", F.when(is_slot, block)).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    running = levels.select(
+        *keys, "_level", "_place", *[merge(n).over(among).alias(n) for n in names]
+    ).withColumn("_block", F.when(is_slot, block).otherwise(F.col("_place")))
+    own_block = Window.partitionBy(*keys, "_block")
+    found = running.select(
+        *keys,
+        "_level",
+        F.col("_place").alias(SLOT),
+        *[pick(F.col(n), merge(F.when(~is_slot, F.col(n))).over(own_block)).alias(n) for n in names],
+    )
+    return found.where(is_slot).drop("_level")

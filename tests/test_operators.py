@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from pathproof.operators import DAY, HOUR, MINUTE, asof_lookup, holding, interval_join, latest_by, neighbours, pick_per_class
+from pathproof.operators import DAY, HOUR, MINUTE, asof_lookup, beyond_slots, holding, interval_join, latest_by, neighbours, pick_per_class
 
 ZERO = datetime(2024, 1, 1)
 WIDTHS = [MINUTE, HOUR, 400 * DAY]
@@ -134,3 +134,46 @@ def test_pick_per_class_drops_rows_before_the_shuffle(spark):
     large = pick_per_class(df.withColumn("c", F.lit(0)).union(df.withColumn("id", F.col("id") + 5000)), "c", 1200, [F.col("id")])
     assert sorted(r.id for r in large.where("c = 0").collect())[-1] == 5398
     assert "WindowGroupLimit" in picked._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("bits", [1, 3, 10])
+@pytest.mark.parametrize("later", [True, False])
+def test_beyond_slots(spark, bits, later):
+    """Slots before and after zero, gaps, nulls, far outliers, against all earlier or later slots."""
+    rng = random.Random(bits)
+    rows = {(k, s): rng.choice([None, rng.randrange(-50, 50)]) for k in "ab" for s in rng.sample(range(-40, 40), 45)}
+    rows |= {("a", -900_000_000): 7, ("a", 4_000_000_000): -60, ("c", 5): None}
+    table = [(k, s, v, None if v is None else (s, v)) for (k, s), v in rows.items()]
+    df = frame(spark, table, "key string, _slot long, v int, dated struct<_slot:long,value:int>")
+    got = {
+        (r["key"], r["_slot"]): (r["v"], r["dated"] and r["dated"]["value"])
+        for r in beyond_slots(df, ["key"], ["v", "dated"], smallest=later, later=later, fan_bits=bits).collect()
+    }
+    for (k, s), answer in got.items():
+        side = sorted((t, v) for (q, t), v in rows.items() if q == k and v is not None and (t > s if later else t < s))
+        nearest = (side[0] if later else side[-1])[1] if side else None
+        assert answer == ((min if later else max)((v for _, v in side), default=None), nearest)
+    assert len(got) == len(rows)
+
+
+def test_look_ups_over_many_blocks(spark):
+    """Years between neighbours, times before 1970, at slots of a minute."""
+    rng = random.Random(3)
+    times = [datetime(1960, 1, 1) + timedelta(minutes=rng.randrange(40_000_000)) for _ in range(120)]
+    points = [(rng.choice("ab"), t, i) for i, t in enumerate(times)]
+    probes = [(rng.choice("abc"), rng.choice(times) + timedelta(minutes=rng.randrange(-9, 9)), i) for i in range(60)]
+    answers = asof_lookup(
+        frame(spark, probes, "key string, at timestamp_ntz, n int"), frame(spark, points, POINT), "key", "at", "t",
+        {"last": F.struct("t", "pid")}, width_s=MINUTE,
+    ).collect()
+    for r in answers:
+        before = [(t, i) for k, t, i in points if k == r["key"] and t <= r["at"]]
+        assert (tuple(r["last"]) if r["last"] else None) == max(before, default=None)
+    windows = [(k, t, t + timedelta(days=rng.randrange(900)), i) for k, t, i in probes]
+    spans = [(k, t, t + timedelta(days=rng.randrange(200))) for k, t, _ in points]
+    held = holding(
+        frame(spark, windows, SPAN), frame(spark, spans, "key string, start timestamp_ntz, end timestamp_ntz"),
+        ["key"], "lo", "hi", width_s=MINUTE,
+    ).collect()
+    want = {i for k, lo, hi, i in windows if any(q == k and lo <= a and b <= hi for q, a, b in spans)}
+    assert {r["sid"] for r in held} == want and 5 < len(want) < 55
