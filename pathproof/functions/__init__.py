@@ -1,11 +1,14 @@
 from pathproof.functions.columns import (
+    decimal_fraction_digits,
     double_fraction_digits,
     earth_distance_km,
     fraction_digits,
+    fraction_digits_of,
     json_scalar,
     json_scalars,
     ping_time,
     round7,
+    round7_of,
     speed_kmh,
     split_number,
     tag_list,
@@ -15,13 +18,16 @@ from pathproof.functions.columns import (
 )
 
 __all__ = [
+    "decimal_fraction_digits",
     "double_fraction_digits",
     "earth_distance_km",
     "fraction_digits",
+    "fraction_digits_of",
     "json_scalar",
     "json_scalars",
     "ping_time",
     "round7",
+    "round7_of",
     "speed_kmh",
     "split_number",
     "tag_list",

@@ -6,18 +6,21 @@ import pytest
 from pyspark.sql import functions as F
 
 from pathproof.functions import (
+    decimal_fraction_digits,
     double_fraction_digits,
     earth_distance_km,
     fraction_digits,
     json_scalar,
     ping_time,
     round7,
+    round7_of,
     speed_kmh,
     split_number,
     tag_list,
     wall_time,
     whole_seconds_between,
 )
+from pathproof.plans.rules import accept_at_store, accept_point_repeated
 
 
 def one(spark, column):
@@ -127,3 +130,34 @@ def test_digits_of_doubles_equal_digits_of_their_text(spark):
     df = spark.createDataFrame([(x,) for x in edges + some], "x double")
     got = df.select("x", double_fraction_digits("x").alias("fast"), fraction_digits("x").alias("plain"))
     assert got.where("not fast <=> plain").collect() == []
+
+
+def test_digits_of_decimals_equal_digits_of_their_text(spark):
+    rng = random.Random(6)
+    some = [Decimal(0), Decimal("0.0000001"), Decimal("-0.0000001"), Decimal("1E+5"), Decimal("-7.50"), None]
+    some += [Decimal(rng.randint(-(10**17), 10**17)).scaleb(-9) for _ in range(500)]
+    some += [Decimal(rng.randint(-(10**5), 10**5)).scaleb(-rng.randint(0, 9)) for _ in range(500)]
+    df = spark.createDataFrame([(x,) for x in some], "x decimal(20,9)").withColumn("y", F.col("x").cast("decimal(18,7)"))
+    for c in ("x", "y"):
+        kind = dict(df.dtypes)[c]
+        assert df.where(~decimal_fraction_digits(c).eqNullSafe(fraction_digits(c))).collect() == []
+        assert df.where(~round7_of(c, kind).eqNullSafe(round7(c))).collect() == []
+    edges = [0.1 + 0.2, 10.12345678, 10.1234567, 1e-9, float("nan"), float("inf"), None]
+    doubles = spark.createDataFrame([(x,) for x in edges], "x double")
+    assert doubles.where(~round7_of("x", "double").eqNullSafe(round7("x"))).collect() == []
+
+
+def test_points_given_as_decimals_take_no_lambda(spark):
+    """A lambda is not compiled, and casts of empty texts throw: minutes for the points of 20,000 orders."""
+    names = [f"{a}_{b}" for a in ("accept", "store") for b in ("latitude", "longitude")]
+    points = spark.range(3).selectExpr(
+        "id as order_id",
+        "7L as driver_id",
+        "date'2024-01-01' as order_date",
+        "timestamp'2024-01-01' as create_time",
+        "'food' as service_type",
+        *[f"cast(10.1234567 as decimal(18,7)) as {n}" for n in names],
+    )
+    for found in (accept_at_store(points), accept_point_repeated(points)):
+        assert "lambda" not in found._jdf.queryExecution().optimizedPlan().toString()
+        assert found.count() == 3
