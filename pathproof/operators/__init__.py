@@ -1,4 +1,5 @@
 from pathproof.operators.asof import asof_lookup
+from pathproof.operators.cuts import made_once
 from pathproof.operators.intervals import holding, holding_each, interval_join, smallest_ends
 from pathproof.operators.latest import latest_by
 from pathproof.operators.neighbours import neighbours
@@ -15,6 +16,7 @@ __all__ = [
     "holding_each",
     "interval_join",
     "latest_by",
+    "made_once",
     "neighbours",
     "pick_per_class",
     "slot",

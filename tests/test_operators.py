@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from pathproof.operators import DAY, HOUR, MINUTE, asof_lookup, beyond_slots, holding, interval_join, latest_by, neighbours, pick_per_class
+from pathproof.operators import DAY, HOUR, MINUTE, asof_lookup, beyond_slots, holding, interval_join, latest_by, made_once, neighbours, pick_per_class
 
 ZERO = datetime(2024, 1, 1)
 WIDTHS = [MINUTE, HOUR, 400 * DAY]
@@ -177,3 +177,15 @@ def test_look_ups_over_many_blocks(spark):
     ).collect()
     want = {i for k, lo, hi, i in windows if any(q == k and lo <= a and b <= hi for q, a, b in spans)}
     assert {r["sid"] for r in held} == want and 5 < len(want) < 55
+
+
+def test_made_once_keeps_rows_and_types(spark):
+    df = spark.sql(
+        "select * from values (1L, timestamp_ntz'2024-01-01 00:00:05.123456', timestamp'1901-01-01', 1.50BD, null, 'a'),"
+        " (null, null, timestamp'2024-01-01', null, cast('nan' as double), null), (1L, null, null, 2BD, 0.1D, '')"
+        " as t(a, b, c, d, e, f)"
+    )
+    got = made_once(df)
+    assert got.dtypes == df.dtypes
+    assert sorted(map(str, got.collect())) == sorted(map(str, df.collect()))
+    assert made_once(df.where("false")).count() == 0
