@@ -123,9 +123,9 @@ def train(docs: DataFrame) -> Model:
         yield pa.record_batch(columns, names=["which", "slot", "n"])
 
     summed = map_arrow(named, count, "which long, slot long, n long").groupBy("which", "slot").agg(F.sum("n").alias("n"))
-    found = summed.toPandas()  # bounded: a row for each language and slot at most
+    found = summed.toArrow()  # bounded: a row for each language and slot at most, as columns and not as rows of Python
     counts = np.zeros((SLOTS, len(languages)))
-    counts[found["slot"], found["which"]] = found["n"]
+    counts[found["slot"].to_numpy(), found["which"].to_numpy()] = found["n"].to_numpy()
     share = (counts + 0.5 * (counts.sum(axis=1, keepdims=True) > 0) + 1e-3) / (counts.sum(axis=0) + 1)
     table = np.log(share).astype(np.float32)
     model = Model(languages, table, counts.sum(axis=0), np.zeros((len(languages), 2)))
@@ -138,7 +138,7 @@ def _bars(named: DataFrame, model: Model) -> np.ndarray:
     The deviation is the median one, of a text of many trigrams. A few odd documents move neither, nor does the number
     of documents. Languages of fewer than ``LEAST_DOCUMENTS`` have an endless deviation.
     """
-    sent = named.sparkSession.sparkContext.broadcast(model)
+    sent = named.sparkSession.sparkContext.broadcast(model)  # of no use once the means are stored
     place = {name: i for i, name in enumerate(model.languages)}
 
     def mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,6 +153,7 @@ def _bars(named: DataFrame, model: Model) -> np.ndarray:
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["which", "mean", "spread"])
 
     means = stored(map_arrow(named, mean, "which long, mean double, spread double"))
+    sent.destroy()
     middle = means.groupBy("which").agg(F.percentile_approx("mean", 0.5).alias("median"), F.count("*").alias("n"))
     off = F.abs(F.col("mean") - F.col("median")) / F.col("spread")
     both = means.join(F.broadcast(middle), "which").groupBy("which", "median", "n")
@@ -238,10 +239,19 @@ def _evidence(rows: DataFrame, parts, model: Model) -> DataFrame:
     return map_arrow(rows, work, ", ".join([*schema, *(f"{c} double" for c in chances)]))
 
 
-def _normalised(logs: list[Column]) -> list[Column]:
-    top = F.greatest(*logs) if len(logs) > 1 else logs[0]
-    powers = [F.exp(x - top) for x in logs]
-    return [p / reduce(Column.__add__, powers) for p in powers]
+def _with_chances(rows: DataFrame, logs: dict[str, Column]) -> DataFrame:
+    """``rows`` with a chance for each of the ``logs``, under its name: their powers divided by the sum of them.
+
+    Each step names its columns for the next one. Stated in one, every chance would repeat all logs, and those
+    every number that they are made of: the plan would grow with the cube of the languages, in the driver's memory.
+    """
+    rows = rows.withColumns({f"__log_{c}": x for c, x in logs.items()})
+    top = F.greatest(*(f"__log_{c}" for c in logs)) if len(logs) > 1 else F.col(f"__log_{next(iter(logs))}")
+    rows = rows.withColumn("__top", top)
+    rows = rows.withColumns({f"__power_{c}": F.exp(F.col(f"__log_{c}") - F.col("__top")) for c in logs})
+    rows = rows.withColumn("__sum", reduce(Column.__add__, [F.col(f"__power_{c}") for c in logs]))
+    rows = rows.withColumns({c: F.col(f"__power_{c}") / F.col("__sum") for c in logs})
+    return rows.drop("__top", "__sum", *(f"__{kind}_{c}" for c in logs for kind in ("log", "power")))
 
 
 def fuse(evidence: DataFrame, languages: list[str]) -> DataFrame:
@@ -261,7 +271,7 @@ def fuse(evidence: DataFrame, languages: list[str]) -> DataFrame:
         )
     logs = [f"l{i}" for i in range(n)]
     own = [f"p{i}" for i in range(n)]
-    rows = evidence.withColumns(dict(zip(own, _normalised([F.col(c) for c in logs]), strict=True)))
+    rows = _with_chances(evidence, {c: F.col(x) for c, x in zip(own, logs, strict=True)})
     rows = rows.withColumns({c: F.when(F.col("n") > 0, F.col(c)).otherwise(F.lit(0.0)) for c in own})
     rows = stored(rows.withColumn("one", F.when(F.col("n") > 0, 1.0).otherwise(0.0)))
 
@@ -299,14 +309,15 @@ def fuse(evidence: DataFrame, languages: list[str]) -> DataFrame:
         said = (less_own(f"p{i}", "declared") + DECLARED_WEIGHT * trust) / ((whole[f"p{i}"] or 0.0) + DECLARED_WEIGHT)
         said = F.when(F.col("declared").isNull(), 1.0).otherwise(said)
         posterior.append(F.col(f"l{i}") + F.log(prior) + F.log(said))
-    final = joined.withColumns({f"f{i}": p for i, p in enumerate(_normalised(posterior))})
     finals = [f"f{i}" for i in range(n)]
+    final = _with_chances(joined, dict(zip(finals, posterior, strict=True)))
 
     def best(columns: list[str]) -> Column:
         top = F.greatest(*columns) if n > 1 else F.col(columns[0])
         return F.coalesce(*(F.when(F.col(c) == top, F.lit(name)) for c, name in zip(columns, languages, strict=True)))
 
-    top = F.greatest(*finals) if n > 1 else F.col("f0")
+    final = final.withColumn("__top", F.greatest(*finals) if n > 1 else F.col("f0"))
+    top = F.col("__top")
     return final.select(
         *(c for c in ("id", "text_key") if c in rows.columns),
         "host",

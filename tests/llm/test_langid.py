@@ -120,3 +120,17 @@ def test_empty_tables(spark, nothing, docs):
     pages = spark.createDataFrame([(1, "http://a.de/", '<html lang="de">Wort')], "page_id long, url string, html string")
     unknown = langid.op7_langid(pages, nothing).collect()
     assert [(r.page_id, r.lang, r.declared, r.accepted) for r in unknown] == [(1, None, "de", False)]
+
+
+def test_a_plan_of_more_languages_grows_no_faster_than_their_number(spark):
+    def size(n: int) -> int:
+        kinds = ", ".join(["id long", "host string", "domain string", "suffix string", "declared string", "odd boolean", "n long"])
+        evidence = spark.createDataFrame([], kinds + "".join(f", l{i} double" for i in range(n)))
+        found = langid.fuse(evidence, [f"x{i}" for i in range(n)])
+        return len(found._jdf.queryExecution().optimizedPlan().toString())
+
+    spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
+    try:
+        assert size(8) < 3 * size(4)
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
